@@ -57,6 +57,8 @@ class StructuredRules:
     duplicate_warn: float = 0.01
     duplicate_error: float = 0.10
     max_string_length: int = 1000
+    # Compare whole words of a column name instead of substrings.
+    strict_names: bool = False
 
 
 @dataclass(frozen=True)

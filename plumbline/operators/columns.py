@@ -83,7 +83,7 @@ def text_value(column: Column, dtype: T.DataType) -> Column:
 # -- moments and range counts -------------------------------------------------
 
 
-def range_metrics(df: DataFrame, as_of, rules: StructuredRules, strict_names=False) -> DataFrame:
+def range_metrics(df: DataFrame, as_of, rules: StructuredRules) -> DataFrame:
     """One row holding every scan-only metric, as ``rows`` and ``<metric>_<position>``."""
     infos = describe(df)
     values = positional(df, infos)
@@ -110,7 +110,7 @@ def range_metrics(df: DataFrame, as_of, rules: StructuredRules, strict_names=Fal
                 F.avg(x).alias(f"mean_{i}"),
                 F.stddev_samp(x).alias(f"std_{i}"),
             ]
-            if names.name_has(c.name, names.NON_NEGATIVE_TOKENS, strict_names):
+            if names.name_has(c.name, names.NON_NEGATIVE_TOKENS, rules.strict_names):
                 aggregates.append(F.count_if(x < 0).alias(f"negative_{i}"))
         if c.kind == names.STRING:
             aggregates += [
@@ -342,15 +342,14 @@ def column_metrics(
     as_of=None,
     rules: StructuredRules = StructuredRules(),
     distinct: str = "exact",
-    strict_names: bool = False,
 ) -> DataFrame:
     """All metrics the quality rules read, one row per column.
 
     With ``distinct="rules"`` the distinct count of a plain number or instant is
     null when it exceeds one.
     """
-    infos = describe(df)
-    wide = range_metrics(df, as_of, rules, strict_names)
+    infos, strict_names = describe(df), rules.strict_names
+    wide = range_metrics(df, as_of, rules)
     available = set(wide.columns)
     wide = wide.withColumn("unique_counts", unique_count_map(df, distinct, strict_names))
     if any(c.kind == names.NUMERIC for c in infos):

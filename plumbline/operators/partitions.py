@@ -1,0 +1,18 @@
+"""Partition counts for work that is heavy per row."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+
+
+def spread(df: DataFrame) -> DataFrame:
+    """Use every core for costly row work on an input with few splits.
+
+    A file of one row group is one task however long its text takes. Only then
+    are the rows dealt out first; an input with at least as many partitions as
+    cores, so anything large, passes through without a shuffle. Streams too.
+    """
+    if df.isStreaming:
+        return df
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df if df.rdd.getNumPartitions() >= cores else df.repartition(cores)
