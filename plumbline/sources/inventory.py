@@ -12,9 +12,6 @@ ROUTES = {
     "structured": (".csv", ".parquet", ".pq"),
     "semi_structured": (".json", ".jsonl", ".log"),
     "text": (".txt", ".pdf", ".eml"),
-    "audio": (".mp3", ".wav", ".flac"),
-    "image": (".jpg", ".jpeg", ".png"),
-    "video": (".mp4", ".avi", ".mov"),
 }
 EXTRACTED = "_extracted"
 
