@@ -47,9 +47,20 @@ def trend_direction(current: Column, previous: Column) -> Column:
     )
 
 
+def fixed(value: Column, places: int) -> Column:
+    """A non-negative number with so many decimals.
+
+    The rounding is done on the binary value, because the formatter alone
+    rounds halves of the shortest decimal spelling and so turns 0.35005, which
+    is a little less, into 0.3501.
+    """
+    scale = 10.0**places
+    return F.format_string(f"%.{places}f", F.floor(value * scale + 0.5) / scale)
+
+
 def percent(value: Column, places: int = 2) -> Column:
     """``0.1234`` as ``12.34%``."""
-    return F.format_string(f"%.{places}f%%", value * 100)
+    return F.concat(fixed(value * 100, places), F.lit("%"))
 
 
 def percent_text(value: float, places: int = 0) -> str:

@@ -134,7 +134,7 @@ def dataset_checks(rules: RecordRules) -> Column:
             "uniqueness", "", 0, F.col("duplicate_rate") > rules.duplicate_warn,
             "duplicate_records", "dataset",
             f"duplicate_rate <= {percent_text(rules.duplicate_warn)}",
-            F.format_string("%.2f%% (%d record(s))", F.col("duplicate_rate") * 100, F.col("duplicate_count")),
+            F.format_string("%s (%d record(s))", percent(F.col("duplicate_rate")), F.col("duplicate_count")),
             _severity(F.col("duplicate_rate") > rules.duplicate_error),
         ),
         ranked_check(

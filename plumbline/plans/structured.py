@@ -79,7 +79,7 @@ def column_checks(as_of, rules: StructuredRules) -> Column:
             "accuracy", position, 1, F.col("outlier_count") > 0,
             "numeric_outliers", column,
             f"Z-score <= {rules.z_limit}",
-            F.format_string("%d outlier(s) (%.2f%%)", "outlier_count", F.col("outlier_rate") * 100),
+            F.format_string("%d outlier(s) (%s)", F.col("outlier_count"), percent(F.col("outlier_rate"))),
             _severity(F.col("outlier_rate") >= rules.outlier_error_rate),
         ),
         ranked_check(

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.config import DIMENSIONS, QualityConfig, TextRules, as_of_column
 from plumbline.functions.dates import age_days_exact, two_zone_decay
+from plumbline.functions.scoring import fixed
 from plumbline.operators.documents import text_features, with_likely_duplicates
 from plumbline.plans.results import result_record
 from plumbline.types import check_struct, present
@@ -63,7 +64,7 @@ def document_checks(rules: TextRules) -> Column:
 
     words = F.format_string("word_count = %d", "word_count")
     age = F.col("age_days")
-    modified = F.format_string("file last modified %.0f days ago", age)
+    modified = F.format_string("file last modified %s days ago", fixed(age, 0))
     codes = ", ".join(f"'{c}'" for c in sorted(rules.languages))
     return present(
         when(F.col("is_empty"), "is_empty", f"word_count >= {rules.empty_words}", words, "error"),
@@ -78,13 +79,15 @@ def document_checks(rules: TextRules) -> Column:
         when(
             F.col("uppercase_ratio") > rules.uppercase_limit, "excessive_uppercase",
             f"uppercase_ratio <= {rules.uppercase_limit}",
-            F.format_string("uppercase_ratio = %.4f — possible OCR or formatting issue", "uppercase_ratio"),
+            F.format_string(
+                "uppercase_ratio = %s — possible OCR or formatting issue", fixed(F.col("uppercase_ratio"), 4)
+            ),
             "warning",
         ),
         when(
             F.col("special_char_ratio") > rules.special_limit, "excessive_special_chars",
             f"special_char_ratio <= {rules.special_limit}",
-            F.format_string("special_char_ratio = %.4f", "special_char_ratio"),
+            F.format_string("special_char_ratio = %s", fixed(F.col("special_char_ratio"), 4)),
             "warning",
         ),
         when(
@@ -94,7 +97,7 @@ def document_checks(rules: TextRules) -> Column:
         when(
             F.col("whitespace_ratio") > rules.whitespace_limit, "excessive_whitespace",
             f"whitespace_ratio <= {rules.whitespace_limit}",
-            F.format_string("whitespace_ratio = %.4f — Excessive whitespace detected", "whitespace_ratio"),
+            F.format_string("whitespace_ratio = %s — Excessive whitespace detected", fixed(F.col("whitespace_ratio"), 4)),
             "warning",
         ),
         when(
