@@ -48,14 +48,21 @@ def trend_direction(current: Column, previous: Column) -> Column:
 
 
 def fixed(value: Column, places: int) -> Column:
-    """A non-negative number with so many decimals.
+    """A non-negative number with so many decimals, rounded on its exact binary value.
 
-    The rounding is done on the binary value, because the formatter alone
-    rounds halves of the shortest decimal spelling and so turns 0.35005, which
-    is a little less, into 0.3501.
+    The formatter rounds the shortest decimal spelling and so makes 0.35005,
+    which is a little less than that, 0.3501. Here the value is split into two
+    halves whose products with the power of ten are exact, so the comparison
+    with one half is exact too.
     """
     scale = 10.0**places
-    return F.format_string(f"%.{places}f", F.floor(value * scale + 0.5) / scale)
+    spread = value * 134217729.0
+    high = spread - (spread - value)
+    low = value - high
+    whole = F.floor(high * scale)
+    beyond_half = (high * scale - whole - 0.5) + low * scale
+    step = F.when(beyond_half > 0, 1).when(beyond_half < 0, 0).otherwise(whole % 2)
+    return F.format_string(f"%.{places}f", (whole + step) / scale)
 
 
 def percent(value: Column, places: int = 2) -> Column:
