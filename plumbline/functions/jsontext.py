@@ -65,9 +65,8 @@ def is_object(value: Column) -> Column:
     return F.schema_of_variant(value).startswith("OBJECT")
 
 
-def type_name(value: Column) -> Column:
-    """Name of the JSON value's type; ``null`` for JSON null."""
-    schema = F.schema_of_variant(value)
+def type_name(schema: Column) -> Column:
+    """Name of a JSON value's type from its ``schema_of_variant``; ``null`` for JSON null."""
     return (
         F.when(schema.isNull() | (schema == "VOID"), F.lit("null"))
         .when(schema == "STRING", F.lit("str"))
@@ -84,17 +83,24 @@ def type_name(value: Column) -> Column:
 
 def _stripped(value: Column, levels: int) -> Column:
     """The value without null fields and empty objects, whole doubles as integers."""
-    number = F.when(F.schema_of_variant(value) == "DOUBLE", F.try_variant_get(value, "$", "double"))
-    whole = F.when((number == F.floor(number)) & (F.abs(number) < 2.0**53), number.cast("bigint"))
-    plain = F.coalesce(whole.cast("variant"), value)
     if levels == 0:
-        return plain
+        return value
     fields = F.transform_values(
-        F.when(is_object(value), value.cast("map<string,variant>")),
-        lambda _, child: _stripped(child, levels - 1),
+        value.cast("map<string,variant>"), lambda _, child: _stripped_field(child, levels - 1)
+    )
+    return F.to_variant_object(F.map_filter(fields, lambda _, child: child.isNotNull()))
+
+
+def _stripped_field(value: Column, levels: int) -> Column:
+    shape = F.schema_of_variant(value)
+    inner = _stripped(value, levels)
+    number = F.try_variant_get(value, "$", "double")
+    whole = (number == F.floor(number)) & (F.abs(number) < 2.0**53)
+    return (
+        F.when(shape.startswith("OBJECT"), F.when(F.to_json(inner) != "{}", inner))
+        .when((shape == "DOUBLE") & whole, number.cast("bigint").cast("variant"))
+        .when(shape != "VOID", value)
     )
-    kept = F.map_filter(fields, lambda _, child: ~F.is_variant_null(child) & (F.to_json(child) != "{}"))
-    return F.coalesce(F.to_variant_object(kept), plain)
 
 
 def canonical_record(value: Column, levels: int) -> Column:
@@ -105,4 +111,5 @@ def canonical_record(value: Column, levels: int) -> Column:
     """
     text = F.to_json(value)
     plain = ~(text.contains("null") | text.contains("{}") | text.rlike(r"\d(E|\.0[,}\]])"))
-    return F.when(plain, text).otherwise(F.to_json(_stripped(value, levels)))
+    rebuilt = F.when(is_object(value), F.to_json(_stripped(value, levels)))
+    return F.when(plain, text).otherwise(F.coalesce(rebuilt, text))

@@ -19,18 +19,18 @@ from plumbline.functions.dates import parse_datetime
 from plumbline.functions.jsontext import (
     EMAIL_PATTERN,
     canonical_record,
-    is_object,
     nesting_depth,
     type_name,
 )
 from plumbline.operators.columns import group_value, nullable_value
 from plumbline.operators.duplicates import duplicate_summary
+from plumbline.operators.partitions import spread
 
 
 def max_nesting_depth(records: DataFrame) -> DataFrame:
     """One row ``max_nesting_depth``, read off the brackets of the JSON text."""
     depth = nesting_depth(F.to_json("v"))
-    return records.agg(F.coalesce(F.max(depth), F.lit(0)).cast("bigint").alias("max_nesting_depth"))
+    return spread(records).agg(F.coalesce(F.max(depth), F.lit(0)).cast("bigint").alias("max_nesting_depth"))
 
 
 def measured_levels(records: DataFrame) -> int:
@@ -39,7 +39,7 @@ def measured_levels(records: DataFrame) -> int:
 
 
 def flatten_records(records: DataFrame, levels: int | None = None) -> DataFrame:
-    """Leaves ``(…, path, node)`` of the records; other columns ride along.
+    """Leaves ``(…, path, node, shape)`` of the records; other columns ride along.
 
     Objects open to dot paths, arrays stay leaves, empty objects vanish.
     Without ``levels`` the depth is measured first, so the walk always reaches
@@ -50,22 +50,29 @@ def flatten_records(records: DataFrame, levels: int | None = None) -> DataFrame:
         levels = measured_levels(records)
     spark = records.sparkSession
     others = [c for c in records.columns if c != "v"]
-    nodes = records.select(*others, F.lit(None).cast("string").alias("path"), F.col("v").alias("node"))
+    # The type of a node is read once, when the node comes up; a leaf only
+    # passes through the levels below it.
+    nodes = spread(records).selectExpr(
+        *[f"`{c}`" for c in others], "CAST(NULL AS STRING) AS path", "v AS node", "schema_of_variant(v) AS shape"
+    )
     for _ in range(max(levels, 1)):
-        opened = nodes.withColumn("open", F.when(is_object(F.col("node")), F.col("node")))
+        opened = nodes.withColumn("open", F.expr("CASE WHEN startswith(shape, 'OBJECT') THEN node END"))
         children = opened.lateralJoin(spark.tvf.variant_explode_outer(F.col("open").outer()))
-        is_open = F.col("open").isNotNull()
-        nodes = children.where(~is_open | F.col("key").isNotNull()).select(
-            *others,
-            F.when(is_open, F.concat_ws(".", "path", "key")).otherwise(F.col("path")).alias("path"),
-            F.when(is_open, F.col("value")).otherwise(F.col("node")).alias("node"),
+        nodes = children.where("open IS NULL OR key IS NOT NULL").selectExpr(
+            *[f"`{c}`" for c in others],
+            "CASE WHEN open IS NOT NULL THEN concat_ws('.', path, key) ELSE path END AS path",
+            "CASE WHEN open IS NOT NULL THEN value ELSE node END AS node",
+            "CASE WHEN open IS NOT NULL THEN schema_of_variant(value) ELSE shape END AS shape",
         )
-    unfinished = is_object(F.col("node")) & (F.to_json("node") != "{}")
-    checked = F.when(
-        unfinished, F.raise_error(F.lit(f"records nest deeper than {levels} levels; measure the depth first"))
-    ).otherwise(F.col("node"))
-    leaves = nodes.withColumn("node", checked)
-    return leaves.where(F.col("path").isNotNull() & ~F.coalesce(is_object(F.col("node")), F.lit(False)))
+    # An empty object below the last level is no leaf; any other object there is unfinished.
+    checked = nodes.withColumn(
+        "node",
+        F.expr(
+            "CASE WHEN startswith(shape, 'OBJECT') AND to_json(node) <> '{}' THEN "
+            f"raise_error('records nest deeper than {levels} levels; measure the depth first') ELSE node END"
+        ),
+    )
+    return checked.where("path IS NOT NULL AND NOT (node IS NOT NULL AND startswith(shape, 'OBJECT'))")
 
 
 def flatten_struct(df: DataFrame) -> DataFrame:
@@ -132,7 +139,7 @@ def _with_type_mix(fields: DataFrame) -> DataFrame:
 def field_metrics(records: DataFrame, levels: int | None = None) -> DataFrame:
     """One row per path, from VARIANT records."""
     leaves = flatten_records(records.select("v"), levels)
-    kind = type_name(F.col("node"))
+    kind = type_name(F.col("shape"))
     text = F.col("node").cast("string")
     url = names.column_ends(F.col("path"), names.URL_SUFFIXES)
     email = names.column_ends(F.col("path"), (names.EMAIL_SUFFIX,))
@@ -252,7 +259,7 @@ def duplicate_records(records: DataFrame, levels: int | None = None) -> DataFram
     """Copies after the first among VARIANT records; an absent field equals a null one."""
     if levels is None:
         levels = measured_levels(records)
-    return duplicate_summary(records.select(canonical_record(F.col("v"), max(levels, 1)).alias("record")))
+    return duplicate_summary(spread(records.select("v")).select(canonical_record(F.col("v"), max(levels, 1)).alias("record")))
 
 
 def typed_duplicate_records(df: DataFrame) -> DataFrame:

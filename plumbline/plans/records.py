@@ -24,6 +24,7 @@ from plumbline.operators.records import (
     typed_field_metrics,
 )
 from plumbline.plans.results import check_rows, ordered_failures, ranked_check, result_record
+from plumbline.session import settled
 from plumbline.types import present
 
 INLINE_CHECKS = 100_000
@@ -156,21 +157,21 @@ class RecordPlan:
 
     def __init__(self, records: DataFrame, as_of=None, config: QualityConfig = QualityConfig(), levels=None):
         self.config, self.rules, self.as_of = config, config.records, as_of
-        untyped = records.columns == ["v"]
-        if untyped:
+        if records.columns == ["v"]:
             # One measuring pass; its number sizes the walk and is itself a metric.
-            levels = measured_levels(records) if levels is None else levels
+            depth = measured_levels(records)
+            levels = depth if levels is None else levels
             fields, duplicates = field_metrics(records, levels), duplicate_records(records, levels)
-            depth = nesting_depth(F.to_json("v"))
+            depth = F.lit(depth)
         else:
             fields, duplicates = typed_field_metrics(records), typed_duplicate_records(records)
-            depth = nesting_depth(F.to_json(F.struct("*")))
-        self.fields = derived_fields(fields, as_of, self.rules)
-        if untyped:
-            depths = records.agg(F.coalesce(F.max(depth), F.lit(0)).alias("d"))
-        else:
-            depths = records.select(depth.alias("d")).agg(F.coalesce(F.max("d"), F.lit(0)).alias("d"))
-        self.totals = self._totals(duplicates, depths.scalar())
+            depth = records.select(F.struct("*").alias("r")).agg(
+                F.coalesce(F.max(nesting_depth(F.to_json("r"))), F.lit(0)).alias("d")
+            ).scalar()
+        # One row per path and one row of totals: settled, so that scores and
+        # checks do not each scan the records again.
+        self.fields = settled(derived_fields(fields, as_of, self.rules))
+        self.totals = settled(self._totals(duplicates, depth))
 
     def _totals(self, duplicates: DataFrame, depth: Column) -> DataFrame:
         bad_link = (F.col("is_url") & (F.col("bad_urls") > 0)).cast("int")
@@ -225,15 +226,11 @@ class RecordPlan:
 
     def result(self, dataset_name: str, run_id: str = "", source_path: str = "", format: str = "unknown") -> DataFrame:
         ranked = self.ranked_checks()
-        number = ranked.agg(F.count(F.lit(1)).alias("n")).scalar()
-        guarded = ranked.withColumn("check_total", number).where(
-            F.when(
-                F.col("check_total") > INLINE_CHECKS,
-                F.raise_error(F.lit("too many failed checks for one record; read them with checks()")),
-            ).otherwise(F.lit(True))
-        )
+        number = ranked.count()
+        if number > INLINE_CHECKS:
+            raise ValueError(f"{number} failed checks are too many for one record; read them with checks()")
         entry = F.struct(*[c for c in ranked.columns])
-        gathered = guarded.agg(F.collect_list(entry).alias("ranked")).scalar()
+        gathered = ranked.agg(F.collect_list(entry).alias("ranked")).scalar()
         finished = (
             self.scores()
             .withColumn("ranked", gathered)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import tempfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Instants are compared in UTC; a repeated JSON key keeps its last value.
 SETTINGS = {
@@ -32,6 +32,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     context = spark.sparkContext
     configured = context.getConf().get("spark.checkpoint.dir", None)
     if configured:
+        if not context.getCheckpointDir():
+            context.setCheckpointDir(configured)
         return configured
     current = context.getCheckpointDir()
     if current:
@@ -39,3 +41,13 @@ def checkpoint_dir(spark: SparkSession) -> str:
     folder = tempfile.mkdtemp(prefix="plumbline-ckpt-")
     context.setCheckpointDir(folder)
     return folder
+
+
+def settled(df: DataFrame) -> DataFrame:
+    """A small table computed now and kept in the checkpoint folder.
+
+    What follows reads the few rows instead of running the scans behind them
+    again, and still can after an executor is lost.
+    """
+    checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
