@@ -88,18 +88,21 @@ def _stripped(value: Column, levels: int) -> Column:
     fields = F.transform_values(
         value.cast("map<string,variant>"), lambda _, child: _stripped_field(child, levels - 1)
     )
-    return F.to_variant_object(F.map_filter(fields, lambda _, child: child.isNotNull()))
+    # Emptiness is tested on the finished child, so each level is built once.
+    kept = F.map_filter(
+        fields, lambda _, child: child.isNotNull() & (F.schema_of_variant(child) != "OBJECT<>")
+    )
+    return F.to_variant_object(kept)
 
 
 def _stripped_field(value: Column, levels: int) -> Column:
-    shape = F.schema_of_variant(value)
-    inner = _stripped(value, levels)
     number = F.try_variant_get(value, "$", "double")
     whole = (number == F.floor(number)) & (F.abs(number) < 2.0**53)
     return (
-        F.when(shape.startswith("OBJECT"), F.when(F.to_json(inner) != "{}", inner))
-        .when((shape == "DOUBLE") & whole, number.cast("bigint").cast("variant"))
-        .when(shape != "VOID", value)
+        F.when(F.is_variant_null(value), F.lit(None))
+        .when(is_object(value), _stripped(value, levels))
+        .when((F.schema_of_variant(value) == "DOUBLE") & whole, number.cast("bigint").cast("variant"))
+        .otherwise(value)
     )
 
 
