@@ -17,25 +17,26 @@ ISO_SHAPE = r"^\d{4}-\d{2}-\d{2}([T ]|$)"
 NUMBER_SHAPE = r"(?i)^[+-]?(\d+\.?\d*(e[+-]?\d+)?|\.\d+(e[+-]?\d+)?|inf|infinity)$"
 
 
-def parse_number(column: Column) -> Column:
-    """Text to double, null when it is no number.
+def parse_number(name: str) -> Column:
+    """The text column ``name`` as double, null where it is no number.
 
     The shape test comes first because a failed cast costs an exception per value.
     """
-    value = F.trim(column)
-    return F.when(value.rlike(NUMBER_SHAPE), value.try_cast("double"))
+    return F.expr(f"CASE WHEN trim({name}) RLIKE r'{NUMBER_SHAPE}' THEN try_cast(trim({name}) AS DOUBLE) END")
 
 
-def parse_datetime(column: Column) -> Column:
-    """Text to TIMESTAMP, null when no declared format fits.
+def parse_datetime(name: str) -> Column:
+    """The text column ``name`` as TIMESTAMP, null where no declared format fits.
 
     The format is chosen per value, so the outcome does not depend on row order.
     """
-    value = F.trim(column)
-    parsed = F.when(value.rlike(ISO_SHAPE), value.try_cast("timestamp"))
-    for shape, pattern in DATE_FORMATS:
-        parsed = parsed.when(value.rlike(shape), F.try_to_timestamp(value, F.lit(pattern)))
-    return parsed
+    value = f"trim({name})"
+    branches = [f"WHEN {value} RLIKE r'{ISO_SHAPE}' THEN try_cast({value} AS TIMESTAMP)"]
+    branches += [
+        f"WHEN {value} RLIKE r'{shape}' THEN CAST(try_to_timestamp({value}, '{pattern}') AS TIMESTAMP)"
+        for shape, pattern in DATE_FORMATS
+    ]
+    return F.expr(f"CASE {' '.join(branches)} END")
 
 
 def age_days(as_of: Column, column: Column) -> Column:

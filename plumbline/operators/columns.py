@@ -80,6 +80,12 @@ def text_value(column: Column, dtype: T.DataType) -> Column:
     return column.cast("string")
 
 
+def sql_text(value: str) -> str:
+    """A string as a SQL literal."""
+    escaped = value.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
+
+
 # -- moments and range counts -------------------------------------------------
 
 
@@ -90,43 +96,39 @@ def range_metrics(df: DataFrame, as_of, rules: StructuredRules) -> DataFrame:
     parsed = [F.col(c.ref) for c in infos]
     for c in infos:
         if c.kind == names.STRING:
-            parsed.append(parse_number(F.col(c.ref)).alias(f"{c.ref}_num"))
-            parsed.append(parse_datetime(F.col(c.ref)).alias(f"{c.ref}_ts"))
+            parsed.append(parse_number(c.ref).alias(f"{c.ref}_num"))
+            parsed.append(parse_datetime(c.ref).alias(f"{c.ref}_ts"))
         elif c.kind == names.TEMPORAL:
             parsed.append(F.col(c.ref).cast("timestamp").alias(f"{c.ref}_ts"))
         elif c.kind == names.NUMERIC:
             parsed.append(F.col(c.ref).cast("double").alias(f"{c.ref}_x"))
-    midnight = F.date_trunc("day", as_of_column(as_of))
-    aggregates = [F.count(F.lit(1)).alias("rows")]
+    parsed.append(F.date_trunc("day", as_of_column(as_of)).alias("midnight"))
+    # Written as SQL text: a wide table has hundreds of these, and one string
+    # costs a fraction of the calls that as many column objects would.
+    aggregates = ["count(1) AS rows"]
     for c in infos:
-        i = c.position
-        aggregates.append(F.count(c.ref).alias(f"present_{i}"))
+        i, ref = c.position, c.ref
+        aggregates.append(f"count({ref}) AS present_{i}")
+        if c.kind in (names.NUMERIC, names.TEMPORAL):
+            aggregates.append(f"min({ref}) = max({ref}) AS single_{i}")
         if c.kind == names.NUMERIC:
-            x = F.col(f"{c.ref}_x")
             aggregates += [
-                (F.min(c.ref) == F.max(c.ref)).alias(f"single_{i}"),
-                F.min(x).alias(f"min_{i}"),
-                F.max(x).alias(f"max_{i}"),
-                F.avg(x).alias(f"mean_{i}"),
-                F.stddev_samp(x).alias(f"std_{i}"),
+                f"min({ref}_x) AS min_{i}",
+                f"max({ref}_x) AS max_{i}",
+                f"avg({ref}_x) AS mean_{i}",
+                f"stddev_samp({ref}_x) AS std_{i}",
             ]
             if names.name_has(c.name, names.NON_NEGATIVE_TOKENS, rules.strict_names):
-                aggregates.append(F.count_if(x < 0).alias(f"negative_{i}"))
+                aggregates.append(f"count_if({ref}_x < 0) AS negative_{i}")
         if c.kind == names.STRING:
             aggregates += [
-                F.count(f"{c.ref}_num").alias(f"numeric_{i}"),
-                F.count(f"{c.ref}_ts").alias(f"dates_{i}"),
-                F.count_if(F.length(c.ref) > rules.max_string_length).alias(f"long_{i}"),
+                f"count({ref}_num) AS numeric_{i}",
+                f"count({ref}_ts) AS dates_{i}",
+                f"count_if(length({ref}) > {rules.max_string_length}) AS long_{i}",
             ]
         if c.kind in (names.STRING, names.TEMPORAL):
-            ts = F.col(f"{c.ref}_ts")
-            if c.kind == names.TEMPORAL:
-                aggregates.append((F.min(c.ref) == F.max(c.ref)).alias(f"single_{i}"))
-            aggregates += [
-                F.max(ts).alias(f"latest_{i}"),
-                F.count_if(ts > midnight).alias(f"future_{i}"),
-            ]
-    return values.select(*parsed).agg(*aggregates)
+            aggregates += [f"max({ref}_ts) AS latest_{i}", f"count_if({ref}_ts > midnight) AS future_{i}"]
+    return values.select(*parsed).selectExpr(*aggregates)
 
 
 def outlier_counts(df: DataFrame, z_limit: float = 3.0) -> DataFrame:
@@ -146,13 +148,12 @@ def outlier_counts(df: DataFrame, z_limit: float = 3.0) -> DataFrame:
             *[F.stddev_samp(c.ref).alias(f"s_{c.position}") for c in infos],
         ).alias("moments")
     ).scalar()
-    values = values.withColumn("moments", moments)
-    counts = []
-    for c in infos:
-        spread = F.col(f"moments.s_{c.position}")
-        z = F.abs((F.col(c.ref) - F.col(f"moments.m_{c.position}")) / F.when(spread > 0, spread))
-        counts.append(F.count_if(z > z_limit).alias(f"outliers_{c.position}"))
-    return values.agg(*counts)
+    counts = [
+        f"count_if(abs(({c.ref} - moments.m_{c.position}) / nullif(moments.s_{c.position}, 0)) > {z_limit}) "
+        f"AS outliers_{c.position}"
+        for c in infos
+    ]
+    return values.withColumn("moments", moments).selectExpr(*counts)
 
 
 # -- distinct values ----------------------------------------------------------
@@ -356,56 +357,44 @@ def column_metrics(
         counts = outlier_counts(df, rules.z_limit)
         wide = wide.withColumn("outliers", counts.select(F.struct(*counts.columns)).scalar())
 
-    def metric(name: str, i: int, kind: str) -> Column:
+    def metric(name: str, i: int, kind: str) -> str:
         column = f"{name}_{i}"
-        value = F.col(column) if column in available else F.lit(None)
-        return value.cast(kind).alias(name)
+        return f"CAST({column if column in available else 'NULL'} AS {kind})"
 
-    def count(name: str, i: int, alias: str) -> Column:
+    def count(name: str, i: int) -> str:
         column = f"{name}_{i}"
-        return (F.col(column) if column in available else F.lit(0)).cast("bigint").alias(alias)
+        return f"CAST({column if column in available else 0} AS BIGINT)"
 
-    def unique(c: ColumnInfo) -> Column:
-        counted = F.element_at("unique_counts", F.lit(c.ref))
+    def unique(c: ColumnInfo) -> str:
         if distinct == "rules" and not needs_distinct(c, strict_names):
             # Zero or one when known, null when there are more.
-            return F.when(F.col(f"present_{c.position}") == 0, F.lit(0)).when(
-                F.col(f"single_{c.position}"), F.lit(1)
-            )
-        return F.coalesce(counted, F.lit(0))
+            return f"CASE WHEN present_{c.position} = 0 THEN 0 WHEN single_{c.position} THEN 1 END"
+        return f"coalesce(element_at(unique_counts, '{c.ref}'), 0)"
 
     rows = []
     for c in infos:
         i = c.position
-        is_number = c.kind == names.NUMERIC
-        flags = (
-            names.name_has(c.name, names.IDENTIFIER_TOKENS, strict_names),
-            c.kind == names.STRING,
-        )
-        rows.append(
-            F.struct(
-                F.lit(i).alias("position"),
-                F.lit(c.name).alias("column"),
-                F.lit(c.dtype.simpleString()).alias("dtype"),
-                F.lit(c.kind).alias("kind"),
-                F.lit(flags[0]).alias("is_identifier"),
-                F.col("rows").alias("row_count"),
-                (F.col("rows") - F.col(f"present_{i}")).alias("null_count"),
-                unique(c).cast("bigint").alias("unique_count"),
-                metric("min", i, "double"),
-                metric("max", i, "double"),
-                metric("mean", i, "double"),
-                metric("std", i, "double"),
-                (F.col(f"outliers.outliers_{i}") if is_number else F.lit(0)).cast("bigint").alias("outlier_count"),
-                count("numeric", i, "numeric_parsed"),
-                count("dates", i, "datetime_parsed"),
-                metric("latest", i, "timestamp"),
-                count("future", i, "future_count"),
-                count("negative", i, "negative_count"),
-                count("long", i, "long_count"),
-            )
-        )
-    metrics = wide.select(F.inline(F.array(*rows)))
+        outliers = f"outliers.outliers_{i}" if c.kind == names.NUMERIC else "0"
+        fields = {
+            "position": str(i),
+            "column": sql_text(c.name),
+            "dtype": sql_text(c.dtype.simpleString()),
+            "kind": sql_text(c.kind),
+            "is_identifier": str(names.name_has(c.name, names.IDENTIFIER_TOKENS, strict_names)).lower(),
+            "row_count": "rows",
+            "null_count": f"rows - present_{i}",
+            "unique_count": f"CAST({unique(c)} AS BIGINT)",
+            **{name: metric(name, i, "DOUBLE") for name in ("min", "max", "mean", "std")},
+            "outlier_count": f"CAST({outliers} AS BIGINT)",
+            "numeric_parsed": count("numeric", i),
+            "datetime_parsed": count("dates", i),
+            "latest": metric("latest", i, "TIMESTAMP"),
+            "future_count": count("future", i),
+            "negative_count": count("negative", i),
+            "long_count": count("long", i),
+        }
+        rows.append("named_struct(" + ", ".join(f"'{k}', {v}" for k, v in fields.items()) + ")")
+    metrics = wide.selectExpr(f"inline(array({', '.join(rows)}))")
     present = F.col("row_count") - F.col("null_count")
     is_date = (F.col("kind") == names.TEMPORAL) | (
         (F.col("kind") == names.STRING)

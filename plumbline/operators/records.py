@@ -146,7 +146,7 @@ def field_metrics(records: DataFrame, levels: int | None = None) -> DataFrame:
     dated = names.column_has(F.col("path"), names.DATE_TOKENS)
     prepared = (
         leaves.select("path", kind.alias("type"), text.alias("text"))
-        .withColumn("moment", F.when(dated & F.col("type").isin("str", "timestamp", "timestamp_ntz", "date"), parse_datetime(F.col("text"))))
+        .withColumn("moment", F.when(dated & F.col("type").isin("str", "timestamp", "timestamp_ntz", "date"), parse_datetime("text")))
         .withColumn("bad_url", url & ~(F.col("text").startswith("http://") | F.col("text").startswith("https://")))
         .withColumn("bad_email", email & ~F.col("text").rlike(EMAIL_PATTERN))
     )
@@ -198,7 +198,7 @@ def typed_field_metrics(df: DataFrame) -> DataFrame:
         if kind == names.TEMPORAL:
             moments.append(c.cast("timestamp").alias(f"ts{i}"))
         elif kind == names.STRING and names.name_has(f.name, names.DATE_TOKENS):
-            moments.append(parse_datetime(c).alias(f"ts{i}"))
+            moments.append(parse_datetime(f"c{i}").alias(f"ts{i}"))
         aggregates.append(F.count(c).alias(f"present{i}"))
         text = c.cast("string")
         if lowered.endswith(names.URL_SUFFIXES):
