@@ -47,27 +47,27 @@ def trend_direction(current: Column, previous: Column) -> Column:
     )
 
 
-def fixed(value: Column, places: int) -> Column:
-    """A non-negative number with so many decimals, rounded on its exact binary value.
+def fixed(value: str, places: int) -> Column:
+    """A non-negative SQL expression with so many decimals, rounded on its exact binary value.
 
     The formatter rounds the shortest decimal spelling and so makes 0.35005,
     which is a little less than that, 0.3501. Here the value is split into two
     halves whose products with the power of ten are exact, so the comparison
     with one half is exact too.
     """
-    scale = 10.0**places
-    spread = value * 134217729.0
-    high = spread - (spread - value)
-    low = value - high
-    whole = F.floor(high * scale)
-    beyond_half = (high * scale - whole - 0.5) + low * scale
-    step = F.when(beyond_half > 0, 1).when(beyond_half < 0, 0).otherwise(whole % 2)
-    return F.format_string(f"%.{places}f", (whole + step) / scale)
+    scale = f"{10**places}D"
+    spread = f"(({value}) * 134217729D)"
+    high = f"({spread} - ({spread} - ({value})))"
+    low = f"(({value}) - {high})"
+    whole = f"floor({high} * {scale})"
+    beyond_half = f"(({high} * {scale} - {whole} - 0.5D) + {low} * {scale})"
+    step = f"CASE WHEN {beyond_half} > 0 THEN 1 WHEN {beyond_half} < 0 THEN 0 ELSE {whole} % 2 END"
+    return F.expr(f"format_string('%.{places}f', ({whole} + {step}) / {scale})")
 
 
-def percent(value: Column, places: int = 2) -> Column:
+def percent(value: str, places: int = 2) -> Column:
     """``0.1234`` as ``12.34%``."""
-    return F.concat(fixed(value * 100, places), F.lit("%"))
+    return F.concat(fixed(f"({value}) * 100", places), F.lit("%"))
 
 
 def percent_text(value: float, places: int = 0) -> str:

@@ -70,7 +70,7 @@ def field_checks(rules: RecordRules) -> Column:
             "completeness", path, 0, F.col("null_rate") > rules.null_warn,
             "null_rate", path,
             f"null_rate <= {percent_text(rules.null_warn)}",
-            percent(F.col("null_rate")),
+            percent("null_rate"),
             _severity(F.col("null_rate") > rules.null_error),
         ),
         ranked_check(
@@ -78,7 +78,7 @@ def field_checks(rules: RecordRules) -> Column:
             "type_inconsistency", path,
             f"<= {percent_text(rules.type_mix_warn)} minority-type values",
             F.concat(
-                percent(F.col("mix_rate"), 1), F.lit(" of values are "), F.col("minority_types"),
+                percent("mix_rate", 1), F.lit(" of values are "), F.col("minority_types"),
                 F.lit(" (majority: "), F.col("majority_type"), F.lit(")"),
             ),
             _severity(F.col("mix_rate") > rules.type_mix_error),
@@ -135,7 +135,7 @@ def dataset_checks(rules: RecordRules) -> Column:
             "uniqueness", "", 0, F.col("duplicate_rate") > rules.duplicate_warn,
             "duplicate_records", "dataset",
             f"duplicate_rate <= {percent_text(rules.duplicate_warn)}",
-            F.format_string("%s (%d record(s))", percent(F.col("duplicate_rate")), F.col("duplicate_count")),
+            F.format_string("%s (%d record(s))", percent("duplicate_rate"), F.col("duplicate_count")),
             _severity(F.col("duplicate_rate") > rules.duplicate_error),
         ),
         ranked_check(

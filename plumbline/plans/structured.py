@@ -11,8 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.config import QualityConfig, StructuredRules, as_of_column
-from plumbline.functions import names
-from plumbline.functions.dates import age_days
 from plumbline.functions.scoring import percent, percent_text
 from plumbline.operators.columns import column_metrics
 from plumbline.operators.duplicates import duplicate_summary
@@ -22,30 +20,23 @@ from plumbline.types import present
 
 def derived_metrics(metrics: DataFrame, as_of, rules: StructuredRules) -> DataFrame:
     """Add the ratios and flags the rules compare with their limits."""
-    filled = F.col("row_count") - F.col("null_count")
-    is_text = F.col("kind") == names.STRING
-    parsed = F.greatest("numeric_parsed", "datetime_parsed")
-    constant = F.coalesce(F.col("unique_count") <= 1, F.lit(False)) & ((filled > 0) | (F.col("row_count") == 0))
-    return (
-        metrics.withColumn("null_rate", F.coalesce(F.try_divide("null_count", "row_count"), F.lit(0.0)))
-        .withColumn("unique_ratio", F.try_divide("unique_count", "row_count"))
-        .withColumn("outlier_rate", F.try_divide(F.col("outlier_count"), filled))
-        .withColumn("parse_ratio", F.try_divide(parsed, filled))
-        .withColumn(
-            "is_low_cardinality",
-            is_text
-            & (F.col("unique_count") > 2)
-            & F.coalesce(F.col("unique_ratio") < rules.cardinality_ratio, F.lit(False)),
-        )
-        .withColumn("is_constant", constant)
-        .withColumn(
-            "is_mixed",
-            ~constant & is_text & F.coalesce(F.col("parse_ratio") > rules.parse_ratio, F.lit(False)),
-        )
-        .withColumn("age_days", F.when(F.col("is_date"), age_days(as_of_column(as_of), F.col("latest"))))
-        .withColumn("is_stale", F.coalesce(F.col("age_days") > rules.max_age_days, F.lit(False)))
-        .withColumn("future_cells", F.when(F.col("is_date"), F.col("future_count")).otherwise(F.lit(0)))
+    ratios = metrics.withColumn("as_of", as_of_column(as_of)).selectExpr(
+        "*",
+        "coalesce(null_count / nullif(row_count, 0), 0D) AS null_rate",
+        "unique_count / nullif(row_count, 0) AS unique_ratio",
+        "outlier_count / nullif(row_count - null_count, 0) AS outlier_rate",
+        "greatest(numeric_parsed, datetime_parsed) / nullif(row_count - null_count, 0) AS parse_ratio",
+        "coalesce(unique_count <= 1, false) AND (row_count > null_count OR row_count = 0) AS is_constant",
+        "CASE WHEN is_date THEN datediff(to_date(as_of), to_date(latest)) END AS age_days",
+        "CASE WHEN is_date THEN future_count ELSE 0 END AS future_cells",
     )
+    return ratios.selectExpr(
+        "*",
+        f"kind = 'string' AND unique_count > 2 AND coalesce(unique_ratio < {rules.cardinality_ratio}D, false) "
+        "AS is_low_cardinality",
+        f"NOT is_constant AND kind = 'string' AND coalesce(parse_ratio > {rules.parse_ratio}D, false) AS is_mixed",
+        f"coalesce(age_days > {rules.max_age_days}, false) AS is_stale",
+    ).drop("as_of")
 
 
 def _severity(is_error: Column) -> Column:
@@ -65,21 +56,21 @@ def column_checks(as_of, rules: StructuredRules) -> Column:
             "completeness", position, 0, F.col("null_rate") > rules.null_warn,
             "null_rate", column,
             f"<= {percent_text(rules.null_warn)}",
-            percent(F.col("null_rate")),
+            percent("null_rate"),
             _severity(F.col("null_rate") > rules.null_error),
         ),
         ranked_check(
             "accuracy", position, 0, F.col("is_low_cardinality"),
             "low_cardinality", column,
             f">= {percent_text(rules.cardinality_ratio, 1)} unique ratio",
-            percent(F.col("unique_ratio")),
+            percent("unique_ratio"),
             "warning",
         ),
         ranked_check(
             "accuracy", position, 1, F.col("outlier_count") > 0,
             "numeric_outliers", column,
             f"Z-score <= {rules.z_limit}",
-            F.format_string("%d outlier(s) (%s)", F.col("outlier_count"), percent(F.col("outlier_rate"))),
+            F.format_string("%d outlier(s) (%s)", F.col("outlier_count"), percent("outlier_rate")),
             _severity(F.col("outlier_rate") >= rules.outlier_error_rate),
         ),
         ranked_check(
@@ -93,7 +84,7 @@ def column_checks(as_of, rules: StructuredRules) -> Column:
             "consistency", position, 1, F.col("is_mixed"),
             "mixed_type", column,
             "uniform dtype, not object",
-            F.concat(percent(F.col("parse_ratio"), 0), F.lit(" of values parseable as "), parse_kind),
+            F.concat(percent("parse_ratio", 0), F.lit(" of values parseable as "), parse_kind),
             "warning",
         ),
         ranked_check(
@@ -149,7 +140,7 @@ def dataset_checks(rules: StructuredRules) -> Column:
             "uniqueness", "", 0, F.col("duplicate_rate") > rules.duplicate_warn,
             "duplicate_rows", "dataset",
             f"duplicate_rate <= {percent_text(rules.duplicate_warn)}",
-            percent(F.col("duplicate_rate")),
+            percent("duplicate_rate"),
             _severity(F.col("duplicate_rate") > rules.duplicate_error),
         ),
     )

@@ -64,7 +64,7 @@ def document_checks(rules: TextRules) -> Column:
 
     words = F.format_string("word_count = %d", "word_count")
     age = F.col("age_days")
-    modified = F.format_string("file last modified %s days ago", fixed(age, 0))
+    modified = F.format_string("file last modified %s days ago", fixed("age_days", 0))
     codes = ", ".join(f"'{c}'" for c in sorted(rules.languages))
     return present(
         when(F.col("is_empty"), "is_empty", f"word_count >= {rules.empty_words}", words, "error"),
@@ -80,14 +80,14 @@ def document_checks(rules: TextRules) -> Column:
             F.col("uppercase_ratio") > rules.uppercase_limit, "excessive_uppercase",
             f"uppercase_ratio <= {rules.uppercase_limit}",
             F.format_string(
-                "uppercase_ratio = %s — possible OCR or formatting issue", fixed(F.col("uppercase_ratio"), 4)
+                "uppercase_ratio = %s — possible OCR or formatting issue", fixed("uppercase_ratio", 4)
             ),
             "warning",
         ),
         when(
             F.col("special_char_ratio") > rules.special_limit, "excessive_special_chars",
             f"special_char_ratio <= {rules.special_limit}",
-            F.format_string("special_char_ratio = %s", fixed(F.col("special_char_ratio"), 4)),
+            F.format_string("special_char_ratio = %s", fixed("special_char_ratio", 4)),
             "warning",
         ),
         when(
@@ -97,7 +97,7 @@ def document_checks(rules: TextRules) -> Column:
         when(
             F.col("whitespace_ratio") > rules.whitespace_limit, "excessive_whitespace",
             f"whitespace_ratio <= {rules.whitespace_limit}",
-            F.format_string("whitespace_ratio = %s — Excessive whitespace detected", fixed(F.col("whitespace_ratio"), 4)),
+            F.format_string("whitespace_ratio = %s — Excessive whitespace detected", fixed("whitespace_ratio", 4)),
             "warning",
         ),
         when(

@@ -100,4 +100,4 @@ def test_bad_records_are_rejected(spark, bad):
 @pytest.mark.parametrize("value", [0.0, 0.35005, 0.91035, 12.345, 2.675, 0.125, 0.5, 99.995, 33.333])
 @pytest.mark.parametrize("places", [0, 1, 2, 4])
 def test_fixed_rounds_like_python(spark, value, places):
-    assert spark.range(1).select(fixed(F.lit(value), places)).first()[0] == f"{value:.{places}f}"
+    assert spark.range(1).select(fixed(f"{value!r}D", places)).first()[0] == f"{value:.{places}f}"
