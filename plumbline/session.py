@@ -30,7 +30,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     session) a temporary folder stands in.
     """
     context = spark.sparkContext
-    configured = context.getConf().get("spark.checkpoint.dir", None)
+    configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         if not context.getCheckpointDir():
             context.setCheckpointDir(configured)
