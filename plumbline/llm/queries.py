@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import planes, tokens
+from plumbline.llm import lines, mixing, planes, simhash, tokens, urls
 from plumbline.llm.shared import checkpoint_dir, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -19,19 +19,94 @@ def vocabulary(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def op1_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = mixing.mix(table(spark, sf_dir, "documents"))
+    return taken.select("doc_id", "size", "source_size", "target", "taken")
+
+
 def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), vocabulary(BYTE_BPE))
 
 
+def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = lines.drop_repeated(table(spark, sf_dir, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+URL_RULES = [
+    ("net", "/", "block"),
+    ("example.net", "/en/", "allow"),
+    ("example.com", "/de/", "block"),
+    ("org", "/fr/", "allow"),
+]
+# What no rule decides: hosts that name themselves as spam.
+URL_GLOBS = [("*spam*/**", "block"), ("*cheap-pills*/**", "block"), ("*casino*/**", "block")]
+
+
+def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return urls.judge(table(spark, sf_dir, "pages"), URL_RULES, URL_GLOBS)
+
+
 def op9_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{checkpoint_dir(spark)}/plumbline-ids-{uuid.uuid4().hex}"
     planes.write_ids(table(spark, sf_dir, "documents"), folder, vocabulary(BYTE_BPE))
     return planes.read_documents(spark, folder, with_ids=False)
 
 
+def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_copies(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
+    "op1_source_mix": op1_source_mix,
     "op2_token_counts": op2_token_counts,
+    "op5_line_dedup": op5_line_dedup,
+    "op7_url_filter": op7_url_filter,
     "op9_token_planes": op9_token_planes,
+    "op10_simhash": op10_simhash,
 }
 
-SQL: dict[str, str] = {}
+SQL: dict[str, str] = {
+    "op5_line_dedup": r"""
+WITH split AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS parts FROM documents
+), lines AS (
+  SELECT doc_id, unnest(parts) AS line, generate_subscripts(parts, 1) AS pos FROM split
+), keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+                      'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key
+  FROM lines
+), firsts AS (
+  SELECT key, min(doc_id) AS first_id FROM keyed WHERE length(key) >= 10
+  GROUP BY key HAVING count(DISTINCT doc_id) >= 2
+), judged AS (
+  SELECT k.*, f.key IS NOT NULL AND doc_id > first_id AS gone FROM keyed k LEFT JOIN firsts f ON k.key = f.key
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (WHERE NOT gone), '')) AS kept_sha256
+FROM judged GROUP BY doc_id
+""",
+    "op7_url_filter": r"""
+WITH rest AS (
+  SELECT page_id, CASE WHEN url LIKE '%://%' THEN substr(url, instr(url, '://') + 3) ELSE '' END AS rest FROM pages
+), cut AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^([^/?#]*)', 1), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(rest, '^[^/?#]*([^?#]*)', 1) AS path
+  FROM rest
+), judged AS (
+  SELECT *,
+    CASE WHEN ('.' || host) LIKE '%.example.net' AND starts_with(path, '/en/') THEN 'example.net/en/'
+         WHEN ('.' || host) LIKE '%.example.com' AND starts_with(path, '/de/') THEN 'example.com/de/'
+         WHEN ('.' || host) LIKE '%.org' AND starts_with(path, '/fr/') THEN 'org/fr/'
+         WHEN ('.' || host) LIKE '%.net' AND starts_with(path, '/') THEN 'net/' END AS rule
+  FROM cut
+)
+SELECT page_id, host, path, rule,
+  CASE WHEN rule IN ('example.net/en/', 'org/fr/') THEN 'allow'
+       WHEN rule IN ('example.com/de/', 'net/') THEN 'block'
+       WHEN starts_with(path, '/') AND (contains(host, 'spam') OR contains(host, 'cheap-pills') OR contains(host, 'casino')) THEN 'block'
+       ELSE 'allow' END AS verdict
+FROM judged
+""",
+}
