@@ -22,7 +22,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm.tokens import Remembered, ids_of
+from plumbline.llm.tokens import Encoder
 
 BLOCK_IDS = 65_536
 SEGMENT_IDS = 1 << 20
@@ -94,8 +94,8 @@ def unpack(segment: dict, start: int = 0, stop: int | None = None) -> np.ndarray
 
 
 @lru_cache(maxsize=4)
-def _memory(path: str) -> Remembered:
-    return Remembered()
+def _encoder(path: str) -> Encoder:
+    return Encoder(path)
 
 
 def write_ids(
@@ -133,17 +133,14 @@ def write_ids(
             )
 
         for batch in batches:
-            texts = batch.column(1)
-            for at in range(0, batch.num_rows, 64):
-                some = [t or "" for t in texts.slice(at, 64).to_pylist()]
-                for key, ids in zip(batch.column(0).slice(at, 64).to_pylist(), ids_of(some, path, _memory(path)), strict=True):
-                    doc_ids.append(key)
-                    parts.append(ids + end)
-                    held += len(ids) // 4 + 1
-                    if held >= segment_ids:
-                        yield full()
-                        segment, first = segment + 1, first + held
-                        doc_ids, parts, held = [], [], 0
+            for key, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                doc_ids.append(key)
+                parts.append(_encoder(path).ids(value) + end)
+                held += len(parts[-1]) // 4
+                if held >= segment_ids:
+                    yield full()
+                    segment, first = segment + 1, first + held
+                    doc_ids, parts, held = [], [], 0
         if parts:
             yield full()
 

@@ -12,6 +12,7 @@ from __future__ import annotations
 import os
 from collections.abc import Callable, Iterator
 from functools import lru_cache
+from struct import pack
 
 import numpy as np
 import pyarrow as pa
@@ -73,25 +74,55 @@ def safe_words(text: str) -> list[str] | None:
     return parts[:1] + [" " + part for part in parts[1:]]
 
 
-def ids_of(texts: list[str], path: str, memory: Remembered) -> list[bytes]:
-    """Ids of each text as little-endian unsigned 32-bit integers, as the library gives them."""
-    known = tokenizer(path)
+ENDINGS = ".,;:!?"
+
 
-    def encode(items: list[str]) -> list[bytes]:
-        return [np.asarray(e.ids, dtype="<u4").tobytes() for e in known.encode_batch_fast(items, add_special_tokens=False)]
+def parts_of(word: str) -> list[str]:
+    """A word of :func:`safe_words` cut further where pre-tokens are sure to end.
 
-    found = []
-    for text in texts:
+    That is before and after a lone line feed between printable characters, and
+    between a letter and one final mark. What is not in the plain alphabets stays whole.
+    """
+    if not word.isascii() and any(c > "\u024f" for c in word) or "\n\n" in word or "<" in word:
+        return [word]
+    parts = []
+    for k, part in enumerate(word.split("\n")):
+        if k:
+            parts.append("\n")
+        if len(part) > 1 and part[-1] in ENDINGS and part[-2].isalpha():
+            parts += [part[:-1], part[-1]]
+        else:
+            parts.append(part)
+    return parts
+
+
+class Encoder:
+    """Ids of texts as little-endian unsigned 32-bit integers, as the library gives them."""
+
+    def __init__(self, path: str, limit: int = REMEMBERED_WORDS):
+        self.known = tokenizer(path)
+        self.words, self.parts = Remembered(limit), Remembered(limit)
+
+    def encoded(self, items: list[str]) -> list[bytes]:
+        found = self.known.encode_batch_fast(items, add_special_tokens=False)
+        return [np.array(e.ids, "<u4").tobytes() if len(e.ids) > 64 else pack(f"<{len(e.ids)}I", *e.ids) for e in found]
+
+    def in_words(self, items: list[str]) -> list[bytes]:
+        cuts = [parts_of(item) for item in items]
+        kept = self.parts.new
+        missing = {part for cut in cuts for part in cut if part not in kept}
+        values = self.parts.fill(missing, self.encoded) if missing else {}
+        return [b"".join([values[p] if p in values else kept[p] for p in cut]) for cut in cuts]
+
+    def ids(self, text: str) -> bytes:
         cut = safe_words(text)
         if cut is None:
-            found.append(encode([text])[0])
-            continue
-        got = list(map(memory.new.get, cut))
+            return self.encoded([text])[0]
+        got = list(map(self.words.new.get, cut))
         if None in got:
-            values = memory.fill({word for word, ids in zip(cut, got, strict=True) if ids is None}, encode)
+            values = self.words.fill({word for word, ids in zip(cut, got, strict=True) if ids is None}, self.in_words)
             got = [values[word] if ids is None else ids for word, ids in zip(cut, got, strict=True)]
-        found.append(b"".join(got))
-    return found
+        return b"".join(got)
 
 
 # The library's own pre-token pattern: a fixed value.
