@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import lines, mixing, planes, simhash, tokens, urls
+from plumbline.llm import contamination, lines, mixing, planes, simhash, tokens, urls
 from plumbline.llm.shared import checkpoint_dir, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -47,6 +47,10 @@ def op7_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return urls.judge(table(spark, sf_dir, "pages"), URL_RULES, URL_GLOBS)
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.found_items(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op9_token_planes(spark: SparkSession, sf_dir: str) -> DataFrame:
     folder = f"{checkpoint_dir(spark)}/plumbline-ids-{uuid.uuid4().hex}"
     planes.write_ids(table(spark, sf_dir, "documents"), folder, vocabulary(BYTE_BPE))
@@ -62,6 +66,7 @@ QUERIES = {
     "op2_token_counts": op2_token_counts,
     "op5_line_dedup": op5_line_dedup,
     "op7_url_filter": op7_url_filter,
+    "op8_decontamination": op8_decontamination,
     "op9_token_planes": op9_token_planes,
     "op10_simhash": op10_simhash,
 }
@@ -108,5 +113,26 @@ SELECT page_id, host, path, rule,
        WHEN starts_with(path, '/') AND (contains(host, 'spam') OR contains(host, 'cheap-pills') OR contains(host, 'casino')) THEN 'block'
        ELSE 'allow' END AS verdict
 FROM judged
+""",
+    "op8_decontamination": r"""
+WITH texts AS (
+  SELECT 'd' AS kind, doc_id AS id, lower(text) AS text FROM documents
+  UNION ALL SELECT 'i', item_id, lower(text) FROM benchmark
+), words AS (
+  SELECT kind, id, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda w: w <> '') AS w FROM texts WHERE text IS NOT NULL
+), items AS (
+  SELECT DISTINCT id AS item_id, least(len(w), 5) AS width,
+         unnest(list_transform(range(1, len(w) - least(len(w), 5) + 2), lambda i: array_to_string(w[i:i + least(len(w), 5) - 1], ' '))) AS shingle
+  FROM words WHERE kind = 'i' AND len(w) > 0
+), sizes AS (
+  SELECT item_id, count(*) AS n_shingles FROM items GROUP BY item_id
+), held AS (
+  SELECT DISTINCT id AS doc_id, k AS width,
+         unnest(list_transform(range(1, len(w) - k + 2), lambda i: array_to_string(w[i:i + k - 1], ' '))) AS shingle
+  FROM words, (SELECT DISTINCT width AS k FROM items) WHERE kind = 'd' AND len(w) >= k
+)
+SELECT doc_id, item_id, n_shingles, count(*) AS n_found, count(*) / n_shingles AS containment
+FROM held JOIN items USING (width, shingle) JOIN sizes USING (item_id)
+GROUP BY doc_id, item_id, n_shingles HAVING count(*) >= ceil(round(0.8 * n_shingles, 9))
 """,
 }
