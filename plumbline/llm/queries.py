@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import contamination, lines, mixing, planes, simhash, tokens, urls
+from plumbline.llm import contamination, lines, mixing, planes, quality, simhash, tokens, toxicity, urls
 from plumbline.llm.shared import checkpoint_dir, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -28,11 +28,21 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return tokens.token_counts(table(spark, sf_dir, "documents"), vocabulary(BYTE_BPE))
 
 
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return toxicity.score(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.drop_repeated(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+def op6_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    return quality.score(documents, quality.train(documents, table(spark, sf_dir, "labels")))
+
+
 URL_RULES = [
     ("net", "/", "block"),
     ("example.net", "/en/", "allow"),
@@ -64,7 +74,9 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op2_token_counts": op2_token_counts,
+    "op3_toxicity": op3_toxicity,
     "op5_line_dedup": op5_line_dedup,
+    "op6_quality": op6_quality,
     "op7_url_filter": op7_url_filter,
     "op8_decontamination": op8_decontamination,
     "op9_token_planes": op9_token_planes,
