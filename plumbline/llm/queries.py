@@ -7,7 +7,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import contamination, lines, mixing, planes, quality, simhash, tokens, toxicity, urls
+from plumbline.llm import contamination, embeddings, lines, mixing, planes, quality, simhash, tokens, toxicity, urls
 from plumbline.llm.shared import checkpoint_dir, table
 
 BYTE_BPE = "byte_bpe_50k.json"
@@ -33,6 +33,10 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity.score(documents, toxicity.train(documents, table(spark, sf_dir, "labels")))
 
 
+def op4_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embeddings.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
 def op5_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = lines.drop_repeated(table(spark, sf_dir, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
@@ -75,6 +79,7 @@ QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op2_token_counts": op2_token_counts,
     "op3_toxicity": op3_toxicity,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_line_dedup": op5_line_dedup,
     "op6_quality": op6_quality,
     "op7_url_filter": op7_url_filter,
