@@ -132,3 +132,14 @@ def found_items(
     return counted.where(F.col("n_found") >= _needed(F.col("n_shingles"), threshold)).select(
         "doc_id", "item_id", "n_shingles", "n_found", (F.col("n_found") / F.col("n_shingles")).alias("containment")
     )
+
+
+def clean_of(documents: DataFrame, benchmark: DataFrame, doc_id: str = "doc_id", text: str = "text", **options) -> DataFrame:
+    """The rows of ``documents`` in which no item is found, with their own columns.
+
+    Options are those of :func:`found_items`. Rows that share an id go together,
+    rows without an id stay.
+    """
+    found = stored(found_items(documents, benchmark, doc_id=doc_id, text=text, **options).select("doc_id").distinct(), "items-found")
+    found = _sized(found.withColumnRenamed("doc_id", "_found"), F.lit(64))
+    return documents.join(found, F.col(f"`{doc_id}`") == F.col("_found"), "left_anti")

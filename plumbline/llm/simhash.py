@@ -25,6 +25,13 @@ from plumbline.llm.components import components
 from plumbline.llm.shared import stored
 
 BYTES = 8
+# The wide fingerprints of :func:`one_of_each`: 256 bits. Texts that share 0.8 of
+# their shingles differ in about 38 of them, unrelated ones in about 128.
+LANES, WIDE_DIFFERING = 4, 38
+# Its index is keyed by so many choices of three of the 32 bytes.
+WIDE_SLOTS, WIDE_KEY_BYTES = 96, 3
+# Members of a posting that one task compares with as many others.
+BLOCK = 2_048
 SHINGLES_AT_ONCE = 65_536
 
 
@@ -157,3 +164,185 @@ def near_copies(documents: DataFrame, size: int = 3, differing: int = 2, doc_id:
     named = distinct.join(moved, "fp", "left").select("fp", F.coalesce("component_id", "least").alias("component_id"))
     shown = F.lower(F.lpad(F.hex("fp"), 16, "0"))
     return rows.join(named, "fp").select("doc_id", shown.alias("fingerprint"), "component_id")
+
+
+def _mixed(hashes: np.ndarray, lane: int) -> np.ndarray:
+    """Another hash from each hash, for a lane of its own."""
+    if not lane:
+        return hashes
+    x = hashes + np.uint64(lane * 0x9E3779B97F4A7C15 & (1 << 64) - 1)
+    x = (x ^ x >> np.uint64(30)) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ x >> np.uint64(27)) * np.uint64(0x94D049BB133111EB)
+    return x ^ x >> np.uint64(31)
+
+
+def wide_fingerprint(text: bytes, size: int, lanes: int = LANES) -> bytes:
+    """Several SimHashes of the different word shingles of a text, in a row; zeros without words."""
+    from xxhash import xxh64_intdigest
+
+    found = text.lower().split()
+    if not found:
+        return bytes(8 * lanes)
+    line = b" ".join(found)
+    lengths = np.fromiter(map(len, found), np.int64, len(found))
+    ends = np.cumsum(lengths + 1) - 1
+    starts, ends = (ends - lengths).tolist(), ends[min(size, len(found)) - 1 :].tolist()
+    hashes = np.unique(np.fromiter((xxh64_intdigest(line[a:b]) for a, b in zip(starts, ends)), np.uint64, len(ends)))
+    parts = []
+    for lane in range(lanes):
+        ones = np.zeros(64, np.int64)
+        for at in range(0, len(hashes), SHINGLES_AT_ONCE):
+            some = _mixed(hashes[at : at + SHINGLES_AT_ONCE], lane)
+            ones += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
+        parts.append(np.packbits(ones * 2 > len(hashes), bitorder="little").tobytes())
+    return b"".join(parts)
+
+
+def _runs(slot: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of each run of equal (slot, value)."""
+    starts = np.concatenate([[0], np.flatnonzero((slot[1:] != slot[:-1]) | (value[1:] != value[:-1])) + 1])
+    return starts, np.append(starts[1:], len(slot))
+
+
+def _wide_edges(kinds: DataFrame, differing: int, slots: int, key_bytes: int) -> DataFrame:
+    """(a, b) edges between fingerprints (kind, fp) that are near and stand in one posting."""
+    rng = np.random.default_rng(17)
+    positions = np.array([rng.choice(8 * LANES, key_bytes, replace=False) for _ in range(slots)])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            fps = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
+            value = np.zeros((batch.num_rows, slots), np.int64)
+            for k in range(key_bytes):
+                value = value << 8 | fps[:, positions[:, k]]
+            # The slot in the upper bytes: one number is one posting.
+            value |= np.arange(slots, dtype=np.int64) << 8 * key_bytes
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(value.reshape(-1)), pa.array(np.repeat(batch.column(0).to_numpy(), slots))], names=["posting", "kind"]
+            )
+
+    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Postings of two or more, passed on as they come."""
+        last, held = None, None
+        for batch in batches:
+            posting, kind = batch.column(0).to_numpy(), batch.column(1).to_numpy()
+            if not len(posting):
+                continue
+            same = posting[1:] == posting[:-1]
+            many = np.concatenate([[posting[0] == last], same]) | np.concatenate([same, [False]])
+            # The last row of a batch waits until the next shows whether it has company.
+            waited = posting[0] == last and held is not None
+            first = np.array([held] if waited else [], np.int64)
+            last, held = posting[-1], None if many[-1] else int(kind[-1])
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(np.concatenate([posting[: len(first)], posting[many]])), pa.array(np.concatenate([first, kind[many]]))],
+                names=["posting", "kind"],
+            )
+
+    postings = kinds.select("kind", "fp").mapInArrow(spread, "posting long, kind long")
+    met = stored(
+        postings.repartition("posting").sortWithinPartitions("posting", "kind").mapInArrow(shared, "posting long, kind long"), "simhash-met"
+    )
+    # A posting of any size is cut into blocks, and every pair of blocks is compared on its own.
+    sizes = met.groupBy("posting").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
+    placed = met.join(sizes, "posting").withColumn("block", F.pmod(F.xxhash64("kind"), "blocks").cast("int"))
+    each = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
+    paired = each.select("posting", (F.least("block", "other") * 65536 + F.greatest("block", "other")).alias("pair"), "kind")
+    full = paired.join(kinds.select("kind", "fp"), "kind")
+
+    def near(values: np.ndarray, limit: int) -> np.ndarray:
+        return np.bitwise_count(values).sum(axis=-1) <= limit
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        current, kinds_held, fps_held = None, [], []
+
+        def close() -> list[tuple[int, int]]:
+            if len(kinds_held) < 2:
+                return []
+            fps = np.frombuffer(b"".join(fps_held), "<u8").reshape(len(fps_held), -1)
+            parent, edges = list(range(len(fps))), []
+
+            def top(x: int) -> int:
+                while parent[x] != x:
+                    parent[x] = x = parent[parent[x]]
+                return x
+
+            for at in range(0, len(fps), 256):
+                left, right = np.nonzero(near(fps[at : at + 256, None] ^ fps[None, at:], differing))
+                for a, b in zip((left + at).tolist(), (right + at).tolist()):
+                    if a < b and (x := top(a)) != (y := top(b)):
+                        parent[max(x, y)] = min(x, y)
+                        edges.append((kinds_held[a], kinds_held[b]))
+            return edges
+
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            posting, pair, kind = (batch.column(k).to_numpy() for k in range(3))
+            raw = batch.column(3).to_pylist()
+            fps = np.frombuffer(b"".join(raw), "<u8").reshape(len(raw), -1)
+            starts, ends = _runs(posting, pair)
+            inner = np.ones(len(starts), bool)
+            inner[:1] = inner[-1:] = False
+            # Postings of two in the middle of a batch, all at once.
+            twos = starts[inner & (ends - starts == 2)]
+            twos = twos[near(fps[twos] ^ fps[twos + 1], differing)] if len(twos) else twos
+            edges = list(zip(kind[twos].tolist(), kind[twos + 1].tolist()))
+            for k in np.flatnonzero(~inner | (ends - starts > 2)).tolist():
+                a, b = int(starts[k]), int(ends[k])
+                if (posting[a], pair[a]) != current:
+                    edges += close()
+                    current, kinds_held, fps_held = (posting[a], pair[a]), [], []
+                kinds_held += kind[a:b].tolist()
+                fps_held += raw[a:b]
+            yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=["a", "b"])
+        edges = close()
+        yield pa.RecordBatch.from_arrays([pa.array([e[k] for e in edges], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    ordered = full.select("posting", "pair", "kind", "fp").repartition("posting", "pair").sortWithinPartitions("posting", "pair", "kind")
+    return ordered.mapInArrow(compare, "a long, b long").distinct()
+
+
+def one_of_each(
+    documents: DataFrame,
+    size: int = 5,
+    differing: int = WIDE_DIFFERING,
+    slots: int = WIDE_SLOTS,
+    key_bytes: int = WIDE_KEY_BYTES,
+    doc_id: str = "doc_id",
+    text: str = "text",
+) -> DataFrame:
+    """The rows of ``documents`` without near copies: of each group the smallest id stays.
+
+    Similarity is that of 256-bit SimHashes over the different ``size``-word shingles;
+    ``differing`` bits stand for a share of 0.8. With 96 choices of three bytes a
+    pair at 0.8 meets with a probability of 0.85, at 0.85 of 0.98, at 0.9 and above always
+    but for one in a thousand, and groups also close over their other members. Texts without words are one
+    group. Rows of one id stay or go together, equal texts among them once; rows
+    without an id are not judged and stay. An empty table gives no rows; all
+    columns are kept.
+    """
+
+    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            values = [wide_fingerprint((t or "").encode("utf-8"), size) for t in batch.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(values, pa.binary())], names=["doc_id", "fp"])
+
+    named = documents.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
+    rows = stored(named.where("doc_id is not null").mapInArrow(prints, "doc_id long, fp binary"), "simhash-wide")
+    kinds = rows.groupBy("fp").agg(F.min("doc_id").alias("least"))
+    kinds = stored(kinds.withColumn("kind", F.monotonically_increasing_id()), "simhash-kinds")
+    reached = components(_wide_edges(kinds, differing, slots, key_bytes), "simhash-wide")
+    members = kinds.join(reached, F.col("kind") == F.col("node"), "left").select(
+        "fp", "least", F.coalesce("component", "kind").alias("component")
+    )
+    winners = members.groupBy("component").agg(F.min("least").alias("_winner")).select("_winner").distinct()
+    counts = rows.groupBy("doc_id").agg((F.count("*") > 1).alias("_several"))
+    staying = winners.join(counts, F.col("_winner") == F.col("doc_id")).select("_winner", "_several")
+    kept = documents.where(F.col(f"`{doc_id}`").isNotNull()).join(staying, F.col(f"`{doc_id}`").cast("long") == F.col("_winner"))
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    single = kept.where(~F.col("_several")).select(columns)
+    several = kept.where("_several").dropDuplicates([doc_id, text]).select(columns)
+    return single.union(several).union(documents.where(F.col(f"`{doc_id}`").isNull()).select(columns))
