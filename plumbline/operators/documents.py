@@ -9,7 +9,6 @@ from plumbline.config import TextRules
 from plumbline.functions import language as lg
 from plumbline.functions import text as tx
 from plumbline.functions.entities import ENTITY_PATTERNS, entity_count, entity_map
-from plumbline.operators.partitions import spread
 from plumbline.operators.skew import with_key_counts
 
 FEATURES = (
@@ -35,7 +34,7 @@ def text_features(
     # Shared intermediate values are columns of their own, so that no later
     # projection repeats the pass over the text behind them.
     content = F.col("_text")
-    read = spread(docs).select(*others, *kept, F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    read = docs.select(*others, *kept, F.coalesce(F.col(text), F.lit("")).alias("_text"))
     counted = read.withColumn("_spaced", tx.spaced(content)).select(
         *others,
         *kept,

@@ -7,11 +7,6 @@ from collections.abc import Callable, Iterator
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.operators.partitions import spread
-
-# Dictionaries up to this many phrases are broadcast.
-BROADCAST_PHRASES = 500_000
-SALTS = 16
 
 
 def words_of(text: Column) -> Column:
@@ -43,25 +38,19 @@ def dictionary_entities(
 ) -> DataFrame:
     """``(key, label, n)``: how often phrases of each label occur in each document.
 
-    ``dictionary`` holds unique lower-cased ``(phrase, label)`` pairs. Its size
-    is checked: a small one is broadcast and the phrases never leave their
-    stage. A large one is joined by phrase after counting per document, with
-    both sides salted because a common phrase occurs in most documents.
+    ``dictionary`` holds unique lower-cased ``(phrase, label)`` pairs. Phrases are
+    counted per document before an ordinary join by phrase: the planner
+    broadcasts a dictionary that is small by its known size, and else
+    splits the partitions of phrases that occur in most documents.
     """
-    split = spread(docs.select(key, text)).select(key, words_of(F.coalesce(F.col(text), F.lit(""))).alias("words"))
+    split = docs.select(key, words_of(F.coalesce(F.col(text), F.lit(""))).alias("words"))
     if longest > 1:
         found = split.select(key, phrases(F.col("words"), longest).alias("phrases"))
         found = found.select(key, F.explode("phrases").alias("phrase"))
     else:
         found = split.select(key, F.explode("words").alias("phrase"))
-    small = dictionary.limit(BROADCAST_PHRASES + 1).count() <= BROADCAST_PHRASES
-    if small:
-        tagged = found.join(F.broadcast(dictionary), "phrase").withColumn("n", F.lit(1).cast("bigint"))
-    else:
-        counted = found.groupBy(key, "phrase").agg(F.count(F.lit(1)).alias("n"))
-        salted = counted.withColumn("salt", F.pmod(F.xxhash64(key), F.lit(SALTS)).cast("int"))
-        copies = dictionary.withColumn("salt", F.explode(F.array(*[F.lit(i) for i in range(SALTS)])))
-        tagged = salted.join(copies, ["phrase", "salt"])
+    counted = found.groupBy(key, "phrase").agg(F.count(F.lit(1)).alias("n"))
+    tagged = counted.join(dictionary, "phrase")
     return tagged.groupBy(key, "label").agg(F.sum("n").alias("n"))
 
 

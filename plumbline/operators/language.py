@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import Window
 
-from plumbline.operators.partitions import spread
 
 PROFILE_SIZE = 300
 
@@ -29,7 +28,7 @@ def trigrams(text: Column) -> Column:
 
 def language_profiles(labelled: DataFrame, text: str = "text", lang: str = "lang", size: int = PROFILE_SIZE) -> DataFrame:
     """``(lang, gram, weight)``: the ``size`` most frequent trigrams of each language."""
-    grams = spread(labelled.select(lang, text)).select(F.col(lang).alias("lang"), F.explode(trigrams(F.col(text))).alias("gram"))
+    grams = labelled.select(F.col(lang).alias("lang"), F.explode(trigrams(F.col(text))).alias("gram"))
     counts = grams.groupBy("lang", "gram").agg(F.count(F.lit(1)).alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "gram"))
     return (
@@ -46,7 +45,7 @@ def identify_language(docs: DataFrame, profiles: DataFrame, key: str = "doc_id",
     one row per document and language; only those are shuffled. A document
     without any known trigram keeps a row and comes out as ``unknown``.
     """
-    grams = spread(docs.select(key, text)).select(F.col(key), F.explode_outer(trigrams(F.coalesce(F.col(text), F.lit("")))).alias("gram"))
+    grams = docs.select(F.col(key), F.explode_outer(trigrams(F.coalesce(F.col(text), F.lit("")))).alias("gram"))
     scored = grams.join(F.broadcast(profiles), "gram", "left").groupBy(key, "lang").agg(F.sum("weight").alias("score"))
     best = F.max(F.when(F.col("lang").isNotNull(), F.struct("score", "lang")))
     return scored.groupBy(key).agg(

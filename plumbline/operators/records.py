@@ -24,13 +24,12 @@ from plumbline.functions.jsontext import (
 )
 from plumbline.operators.columns import group_value, nullable_value
 from plumbline.operators.duplicates import duplicate_summary
-from plumbline.operators.partitions import spread
 
 
 def max_nesting_depth(records: DataFrame) -> DataFrame:
     """One row ``max_nesting_depth``, read off the brackets of the JSON text."""
     depth = nesting_depth(F.to_json("v"))
-    return spread(records).agg(F.coalesce(F.max(depth), F.lit(0)).cast("bigint").alias("max_nesting_depth"))
+    return records.agg(F.coalesce(F.max(depth), F.lit(0)).cast("bigint").alias("max_nesting_depth"))
 
 
 def measured_levels(records: DataFrame) -> int:
@@ -52,7 +51,7 @@ def flatten_records(records: DataFrame, levels: int | None = None) -> DataFrame:
     others = [c for c in records.columns if c != "v"]
     # The type of a node is read once, when the node comes up; a leaf only
     # passes through the levels below it.
-    nodes = spread(records).selectExpr(
+    nodes = records.selectExpr(
         *[f"`{c}`" for c in others], "CAST(NULL AS STRING) AS path", "v AS node", "schema_of_variant(v) AS shape"
     )
     for _ in range(max(levels, 1)):
@@ -259,7 +258,7 @@ def duplicate_records(records: DataFrame, levels: int | None = None) -> DataFram
     """Copies after the first among VARIANT records; an absent field equals a null one."""
     if levels is None:
         levels = measured_levels(records)
-    return duplicate_summary(spread(records.select("v")).select(canonical_record(F.col("v"), max(levels, 1)).alias("record")))
+    return duplicate_summary(records.select("v").select(canonical_record(F.col("v"), max(levels, 1)).alias("record")))
 
 
 def typed_duplicate_records(df: DataFrame) -> DataFrame:

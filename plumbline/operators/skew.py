@@ -5,9 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# A key is hot when it holds more than one row in this many, so there are
-# fewer hot keys than this whatever the table.
-HOT_KEYS = 1000
 SALTS = 1024
 
 
@@ -15,26 +12,25 @@ def with_key_counts(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     """Add ``name``: how many rows share this row's (non-null) ``keys``.
 
     A window would send each key's rows to one task. Here the counts combine
-    before the shuffle and come back by two joins: the hot keys, fewer than
-    ``HOT_KEYS`` by their definition, by broadcast; the rest by key, where no
-    key exceeds a thousandth of the rows. Rows of hot keys carry a random salt
-    into that second join so that they spread instead of meeting in one task.
+    before the shuffle and come back by two joins. A key is hot when it holds
+    more rows than a shuffle partition does on average, so hot keys are fewer
+    than partitions and come by broadcast; the others by key. Rows of hot keys
+    carry their position as a salt into that second join so that they spread
+    instead of meeting in one task, rows that are equal in everything too.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     shared = counts.withColumn("_total", total)
-    is_hot = F.col("_n") * HOT_KEYS > F.col("_total")
+    partitions = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    is_hot = F.col("_n") * partitions > F.col("_total")
     hot = shared.where(is_hot).select(*keys, F.col("_n").alias("_hot"))
     cold = shared.where(~is_hot).select(*keys, F.lit(-1).alias("_salt"), F.col("_n").alias("_cold"))
     marked = df.join(F.broadcast(hot), keys, "left")
-    # A hash of the row, not a random number: a retried task must agree with itself.
-    salt = F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in _hashable(df)]), F.lit(SALTS)).cast("int")
+    # Any salt gives the same result, as rows of hot keys match nothing in the second join.
+    salt = F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")
     salted = marked.withColumn("_salt", F.when(F.col("_hot").isNotNull(), salt).otherwise(F.lit(-1)))
     joined = salted.join(cold, [*keys, "_salt"], "left")
     return joined.select(
         *[F.col(f"`{c}`") for c in df.columns], F.coalesce("_hot", "_cold").alias(name)
     )
 
-
-def _hashable(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]

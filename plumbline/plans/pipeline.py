@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 import logging
-from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial, reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,50 +13,52 @@ from plumbline.config import DIMENSIONS, QualityConfig, as_of_column
 from plumbline.functions.names import is_free_text_table
 from plumbline.operators.documents import text_features
 from plumbline.operators.records import flatten_records
-from plumbline.plans.records import validate_records
+from plumbline.plans.records import RecordPlan
 from plumbline.plans.results import result_record
 from plumbline.plans.structured import validate_structured
 from plumbline.plans.text import validate_features
-from plumbline.sources.documents import load_documents
+from plumbline.session import settled
+from plumbline.sources.documents import read_csv_documents, read_email, read_text
 from plumbline.sources.inventory import list_files
-from plumbline.sources.paths import stem_of
 from plumbline.sources.records import load_records
-from plumbline.sources.results import append_results
-from plumbline.sources.tabular import load_table
+from plumbline.sources.results import replace_run, replace_run_checks
+from plumbline.sources.tabular import csv_header, load_table
 from plumbline.types import check_struct
 
 log = logging.getLogger(__name__)
 
 
-def failed_result(
-    spark: SparkSession, dataset_name: str, data_type: str, error: Exception, config: QualityConfig, as_of=None,
-    run_id: str = "", source_path: str = "",
+def failed_records(
+    failed: DataFrame, data_type: str, config: QualityConfig, as_of=None, run_id: str = ""
 ) -> DataFrame:
-    """A record of score zero that says why a dataset could not be checked."""
-    reason = str(error).splitlines()[0] if str(error) else type(error).__name__
+    """Records of score zero for ``(dataset_name, source_path, reason)`` rows that could not be checked."""
     column = "document" if data_type == "text" else "dataset"
     failures = F.array(
-        *[check_struct(d, column, "check to complete without error", reason, "error") for d in DIMENSIONS]
+        *[check_struct(d, column, "check to complete without error", F.col("reason"), "error") for d in DIMENSIONS]
     )
-    empty = spark.range(1).select(
+    scored = failed.select(
+        "dataset_name",
+        "source_path",
         *[F.lit(0.0).alias(d) for d in DIMENSIONS],
         failures.alias("failed_checks"),
         F.create_map().cast("map<string,string>").alias("metadata"),
     )
-    return result_record(empty, data_type, config, dataset_name, as_of_column(as_of), run_id, source_path)
+    return result_record(
+        scored, data_type, config, F.col("dataset_name"), as_of_column(as_of), run_id, F.col("source_path")
+    )
 
 
-def store_isolated(
-    build: Callable[[], DataFrame], on_error: Callable[[Exception], DataFrame], path: str
-) -> bool:
-    """Append a dataset's records; a dataset that fails is recorded and does not stop the others."""
-    try:
-        append_results(build(), path)
-        return True
-    except Exception as error:  # noqa: BLE001 - any failure of one dataset is reported as its result
-        log.exception("dataset failed")
-        append_results(on_error(error), path)
-        return False
+def failed_result(
+    spark: SparkSession, dataset_name: str, data_type: str, error: Exception, config: QualityConfig, as_of=None,
+    run_id: str = "", source_path: str = "",
+) -> DataFrame:
+    """A record of score zero that says why a dataset could not be checked."""
+    lines = [line for line in str(error).splitlines() if line.strip()]
+    reason = lines[0] if lines else type(error).__name__
+    one = spark.createDataFrame(
+        [(dataset_name, source_path, reason)], "dataset_name string, source_path string, reason string"
+    )
+    return failed_records(one, data_type, config, as_of, run_id)
 
 
 def run_folder(
@@ -65,68 +68,84 @@ def run_folder(
     run_id: str,
     as_of=None,
     config: QualityConfig = QualityConfig(),
+    at_once: int = 4,
 ) -> int:
-    """Check every file of a folder and append the records; how many datasets failed.
-
-    The listing is the only thing collected, one small row per file. Text files
-    of one format are checked together, a document per row.
+    """Check every file of a folder and its subfolders and store the records; how many failed.
+
+    Tables and record files are data sets: their paths, a small row each, come to
+    the driver and ``at_once`` of them are checked side by side. Text files, messages and rows of
+    free-text tables are documents, read where they lie and checked together, so
+    likely duplicates are found across formats. Suffixes count in any case; a
+    file that is routed but cannot be read gets a record that says so. What
+    fails in reading or checking is recorded and does not stop the others; a
+    failure to store is raised. Storing a ``run_id`` again replaces it.
     """
-    files = list_files(spark, folder).select("path", "suffix", "data_type").orderBy("path").collect()
-    failures = 0
-    texts = {}
-    for f in files:
-        name = stem_of(f.path)
-        if f.data_type == "structured":
-            failures += not _run_table(spark, f.path, name, results_path, run_id, as_of, config)
-        elif f.data_type == "semi_structured":
-
-            def build(path=f.path, name=name):
-                records, kind = load_records(spark, path)
-                return validate_records(records, name, as_of, config, run_id, path, kind)
-
-            failures += not store_isolated(
-                build, _recorder(spark, name, "semi_structured", config, as_of, run_id, f.path), results_path
-            )
-        elif f.suffix in (".txt", ".eml"):
-            texts.setdefault(f.suffix, []).append(f.path)
-    for suffix in texts:
-
-        def build(suffix=suffix):
-            return _documents(load_documents(spark, f"{folder.rstrip('/')}/*{suffix}"), as_of, config, run_id)
-
-        failures += not store_isolated(
-            build, _recorder(spark, f"*{suffix}", "text", config, as_of, run_id, folder), results_path
-        )
-    return failures
-
-
-def _recorder(spark, name, data_type, config, as_of, run_id, path):
-    return lambda error: failed_result(spark, name, data_type, error, config, as_of, run_id, path)
-
-
-def _documents(docs: DataFrame, as_of, config: QualityConfig, run_id: str) -> DataFrame:
-    features = text_features(docs, "text", config.text)
-    return validate_features(
-        features, "doc_id", as_of, "modified_at", config, run_id=run_id, source_path="source_path"
+    listing = settled(list_files(spark, folder).select("path", "stem", "suffix", "data_type"))
+    sets = listing.where(F.col("data_type").isin("structured", "semi_structured")).orderBy("path").collect()
+    counts = {r["suffix"]: r["count"] for r in listing.where("data_type = 'text'").groupBy("suffix").count().collect()}
+
+    def checked(f) -> tuple[DataFrame, DataFrame | None, bool]:
+        """(records, failed checks kept as rows, whether it went well)."""
+        try:
+            if f["data_type"] == "structured":
+                table = load_table(spark, f["path"])
+                done = validate_structured(table, f["stem"], as_of, config, run_id=run_id, source_path=f["path"])
+                return settled(done), None, True
+            records, kind = load_records(spark, f["path"])
+            plan = RecordPlan(records, as_of, config)
+            done = plan.result(f["stem"], run_id, f["path"], kind, inline=False)
+            return settled(done), settled(plan.run_checks(f["stem"], run_id)), True
+        except Exception as error:  # noqa: BLE001 - any failure of one data set is reported as its result
+            log.exception("data set failed")
+            return failed_result(spark, f["stem"], f["data_type"], error, config, as_of, run_id, f["path"]), None, False
+
+    with ThreadPoolExecutor(at_once) as pool:
+        outcomes = list(pool.map(checked, sets))
+    parts = [records for records, _, _ in outcomes]
+    checks = [rows for _, rows, _ in outcomes if rows is not None]
+    failures = sum(not good for _, _, good in outcomes)
+
+    readable = {".txt": read_text, ".eml": read_email}
+    sources = [(f"*{suffix}", partial(read, spark, folder, suffix)) for suffix, read in readable.items() if suffix in counts]
+    for f, (_, _, good) in zip(sets, outcomes, strict=True):
+        if good and f["suffix"] == ".csv" and is_free_text_table(csv_header(spark, f["path"])):
+            sources.append((f["stem"], partial(read_csv_documents, spark, f["path"])))
+    documents, failed = _documents(spark, folder, sources, as_of, config, run_id)
+    parts += documents
+    failures += failed
+
+    unread = listing.where("data_type = 'text'").where(~F.col("suffix").isin(*readable))
+    reasons = unread.select(
+        F.col("stem").alias("dataset_name"),
+        F.col("path").alias("source_path"),
+        F.concat(F.lit("unsupported file type '"), "suffix", F.lit("'")).alias("reason"),
     )
+    parts.append(failed_records(reasons, "text", config, as_of, run_id))
+    failures += sum(n for suffix, n in counts.items() if suffix not in readable)
+    replace_run(reduce(DataFrame.unionByName, parts), results_path)
+    if checks:
+        replace_run_checks(reduce(DataFrame.unionByName, checks), results_path)
+    return failures
 
 
-def _run_table(spark, path, name, results_path, run_id, as_of, config) -> bool:
-    """Check a table; one with free-text columns has its rows checked as documents too."""
-    ok = store_isolated(
-        lambda: validate_structured(
-            load_table(spark, path), name, as_of, config, run_id=run_id, source_path=path
-        ),
-        _recorder(spark, name, "structured", config, as_of, run_id, path),
-        results_path,
-    )
-    if ok and path.lower().endswith(".csv") and is_free_text_table(load_table(spark, path)):
-        ok = store_isolated(
-            lambda: _documents(load_documents(spark, path), as_of, config, run_id),
-            _recorder(spark, name, "text", config, as_of, run_id, path),
-            results_path,
+def _documents(spark, folder, sources, as_of, config: QualityConfig, run_id: str) -> tuple[list[DataFrame], int]:
+    """Records of all documents, checked together; (records, how many sources failed)."""
+    good, parts, failures = [], [], 0
+    for name, read in sources:
+        try:
+            good.append(settled(text_features(read(), "text", config.text)))
+        except Exception as error:  # noqa: BLE001 - one unreadable source does not stop the others
+            log.exception("documents failed")
+            parts.append(failed_result(spark, name, "text", error, config, as_of, run_id, folder))
+            failures += 1
+    if good:
+        features = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), good)
+        parts.append(
+            validate_features(
+                features, "doc_id", as_of, "modified_at", config, run_id=run_id, source_path="source_path"
+            )
         )
-    return ok
+    return parts, failures
 
 
 # -- staging ------------------------------------------------------------------
@@ -138,9 +157,13 @@ def stage_table(df: DataFrame, path: str) -> None:
 
 
 def stage_records(records: DataFrame, path: str) -> None:
-    """Keep the flattened leaves of VARIANT records: ``path, value``."""
-    leaves = flatten_records(records.select("v"))
-    leaves.select("path", F.col("node").cast("string").alias("value")).write.mode("overwrite").parquet(path)
+    """Keep the flattened leaves of VARIANT records: ``record_id, path, value``.
+
+    Leaves of one record share its number, so the record can be put together again.
+    """
+    numbered = records.select(F.monotonically_increasing_id().alias("record_id"), "v")
+    leaves = flatten_records(numbered)
+    leaves.select("record_id", "path", F.col("node").cast("string").alias("value")).write.mode("overwrite").parquet(path)
 
 
 def stage_features(docs: DataFrame, path: str, run_id: str, extracted_at=None) -> None:

@@ -1,9 +1,9 @@
 """The six quality dimensions of semi-structured records.
 
 The number of paths depends on the data (a map keyed by user id has as many as
-there are users), so checks stay a distributed table. A result record carries
-its checks in an array; that array is built only while they are few, and the
-long form is always whole.
+there are users), so checks stay a distributed table. Scores come from sums and
+never depend on how many checks failed. One named record may carry its checks
+in an array; a run keeps them as ranked rows beside the records instead.
 """
 
 from __future__ import annotations
@@ -25,9 +25,7 @@ from plumbline.operators.records import (
 )
 from plumbline.plans.results import check_rows, ordered_failures, ranked_check, result_record
 from plumbline.session import settled
-from plumbline.types import present
-
-INLINE_CHECKS = 100_000
+from plumbline.types import CHECK_COLUMNS, CHECK_TYPE, present
 
 
 def derived_fields(fields: DataFrame, as_of, rules: RecordRules) -> DataFrame:
@@ -224,17 +222,34 @@ class RecordPlan:
         """Every failed check as a row, however many there are."""
         return check_rows(self.ranked_checks())
 
-    def result(self, dataset_name: str, run_id: str = "", source_path: str = "", format: str = "unknown") -> DataFrame:
-        ranked = self.ranked_checks()
-        number = ranked.count()
-        if number > INLINE_CHECKS:
-            raise ValueError(f"{number} failed checks are too many for one record; read them with checks()")
-        entry = F.struct(*[c for c in ranked.columns])
-        gathered = ranked.agg(F.collect_list(entry).alias("ranked")).scalar()
+    def run_checks(self, dataset_name: str, run_id: str = "") -> DataFrame:
+        """Every failed check with the keys that put it into report order, for the table of a run."""
+        named = self.ranked_checks().select(
+            F.lit(run_id).alias("run_id"),
+            F.lit(dataset_name).alias("dataset_name"),
+            "dimension_order",
+            "position",
+            "seq",
+            "dimension",
+            "failed.*",
+        )
+        return named.select(*CHECK_COLUMNS)
+
+    def result(
+        self, dataset_name: str, run_id: str = "", source_path: str = "", format: str = "unknown", inline: bool = True
+    ) -> DataFrame:
+        """The scored record. ``inline`` puts all failed checks into its one row, for a single record
+        that is to be shown; without it they stay rows (:meth:`run_checks`), as in a run.
+        """
+        if inline:
+            ranked = self.ranked_checks()
+            gathered = ranked.agg(F.collect_list(F.struct(*ranked.columns)).alias("ranked")).scalar()
+            failures = ordered_failures(gathered)
+        else:
+            failures = F.array().cast(f"array<{CHECK_TYPE}>")
         finished = (
             self.scores()
-            .withColumn("ranked", gathered)
-            .withColumn("failed_checks", ordered_failures(F.col("ranked")))
+            .withColumn("failed_checks", failures)
             .withColumn(
                 "metadata",
                 F.create_map(

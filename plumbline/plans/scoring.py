@@ -48,7 +48,7 @@ def latest_per_dataset(results: DataFrame) -> DataFrame:
 
 def latest_run(results: DataFrame) -> DataFrame:
     """All records of the newest run; no rows while there is none."""
-    newest = results.agg(F.max_by("run_id", "run_timestamp").alias("run_id")).scalar()
+    newest = results.agg(F.max_by("run_id", F.struct(*NEWEST)).alias("run_id")).scalar()
     return results.withColumn("_newest", newest).where(F.col("run_id") == F.col("_newest")).drop("_newest")
 
 

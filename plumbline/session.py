@@ -29,8 +29,9 @@ def configure(spark: SparkSession) -> SparkSession:
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared checkpoint folder of the cluster.
 
-    ``spark.checkpoint.dir`` names it. Only where that is unset (a local test
-    session) a temporary folder stands in.
+    ``spark.checkpoint.dir`` names it. Only where that is unset and the session
+    is a local one does a temporary folder stand in; on a cluster the executors
+    would not see it.
     """
     context = spark.sparkContext
     configured = spark.conf.get("spark.checkpoint.dir", None)
@@ -41,6 +42,8 @@ def checkpoint_dir(spark: SparkSession) -> str:
     current = context.getCheckpointDir()
     if current:
         return current
+    if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     folder = tempfile.mkdtemp(prefix="plumbline-ckpt-")
     context.setCheckpointDir(folder)
     return folder

@@ -21,8 +21,17 @@ def decoded(content: Column) -> Column:
     return F.when(valid, F.decode(content, "UTF-8")).otherwise(F.decode(content, "ISO-8859-1"))
 
 
-def _files(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.format("binaryFile").load(path)
+def any_case(suffix: str) -> str:
+    """A file-name glob for a suffix in upper or lower case."""
+    return "*" + "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in suffix)
+
+
+def _files(spark: SparkSession, path: str, below: str | None = None) -> DataFrame:
+    """The files of a path, or with ``below`` all files of that suffix in a folder and its subfolders."""
+    reader = spark.read.format("binaryFile")
+    if below is not None:
+        reader = reader.options(recursiveFileLookup=True, pathGlobFilter=any_case(below))
+    return reader.load(path)
 
 
 def _document(text: Column, kind: str) -> list[Column]:
@@ -35,12 +44,12 @@ def _document(text: Column, kind: str) -> list[Column]:
     ]
 
 
-def read_text(spark: SparkSession, path: str) -> DataFrame:
+def read_text(spark: SparkSession, path: str, below: str | None = None) -> DataFrame:
     """A document per file."""
-    return _files(spark, path).select(*_document(decoded(F.col("content")), "txt"))
+    return _files(spark, path, below).select(*_document(decoded(F.col("content")), "txt"))
 
 
-def read_email(spark: SparkSession, path: str) -> DataFrame:
+def read_email(spark: SparkSession, path: str, below: str | None = None) -> DataFrame:
     """A document per message: the subject, then every plain-text part.
 
     The stdlib parser runs in Arrow batches where the files are read.
@@ -52,7 +61,7 @@ def read_email(spark: SparkSession, path: str) -> DataFrame:
             yield batch[["path", "modificationTime", "text"]]
 
     parsed = (
-        _files(spark, path)
+        _files(spark, path, below)
         .select("path", "modificationTime", "content")
         .mapInPandas(parse, "path string, modificationTime timestamp, text string")
     )
@@ -60,7 +69,11 @@ def read_email(spark: SparkSession, path: str) -> DataFrame:
 
 
 def message_text(content: bytes) -> str:
-    """Subject line and plain-text bodies of one message."""
+    """Subject line and plain-text bodies of one message.
+
+    A charset that nobody knows is read as UTF-8; what does not decode becomes
+    replacement characters, which the document's own checks then find.
+    """
     import email
 
     message = email.message_from_bytes(content)
@@ -71,7 +84,10 @@ def message_text(content: bytes) -> str:
             continue
         body = part.get_payload(decode=True)
         if body:
-            lines.append(body.decode(part.get_content_charset() or "utf-8", errors="replace"))
+            try:
+                lines.append(body.decode(part.get_content_charset() or "utf-8", errors="replace"))
+            except LookupError:
+                lines.append(body.decode("utf-8", errors="replace"))
     return "\n".join(lines)
 
 

@@ -8,6 +8,11 @@ from pyspark.sql import functions as F
 from plumbline.functions.jsontext import is_object, parse_whole_json
 from plumbline.sources.paths import require_path, suffix_of
 
+# What counts as white space around a line.
+BLANK = (
+    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f \x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 # Format of each suffix.
 RECORD_FORMATS = {".json": "json", ".jsonl": "jsonl", ".xml": "xml", ".log": "log"}
 
@@ -29,7 +34,7 @@ def read_json(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _lines(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.text(path).select(F.trim("value").alias("line")).where(F.col("line") != "")
+    return spark.read.text(path).select(F.btrim("value", F.lit(BLANK)).alias("line")).where(F.col("line") != "")
 
 
 def read_jsonl(spark: SparkSession, path: str) -> DataFrame:
@@ -58,17 +63,32 @@ def read_log(spark: SparkSession, path: str) -> DataFrame:
     return parsed.select(log_record(F.col("line"), F.col("parsed")).alias("v"))
 
 
-def read_xml(spark: SparkSession, path: str, row_tag: str) -> DataFrame:
-    """A typed record per ``row_tag`` element.
+XML_OPTIONS = {"attributePrefix": "", "valueTag": "_text", "nullValue": ""}
+XML_NAME = r"<([A-Za-z_][\w.:-]*)"
 
-    Attributes become keys, the text of an element with attributes ``_text``,
-    and repeated children arrays.
+
+def read_xml(spark: SparkSession, path: str, row_tag: str | None = None) -> DataFrame:
+    """A record per element: a typed one per ``row_tag``, or every direct child of the root as ``v``.
+
+    Attributes become keys, the text of an element with attributes ``_text``, and
+    repeated children arrays. Without a tag the files are read whole, one task
+    each; with it they are split.
     """
-    return (
-        spark.read.format("xml")
-        .options(rowTag=row_tag, attributePrefix="", valueTag="_text", nullValue="")
-        .load(path)
-    )
+    if row_tag is not None:
+        return spark.read.format("xml").options(rowTag=row_tag, **XML_OPTIONS).load(path)
+    files = spark.read.text(path, wholetext=True).select(F.regexp_extract("value", XML_NAME, 1).alias("root"))
+    roots = [row["root"] for row in files.where("root <> ''").distinct().collect()]
+    records = None
+    for root in roots:
+        whole = spark.read.format("xml").options(rowTag=root, **XML_OPTIONS).load(path)
+        for child in whole.columns:
+            column = F.col(f"`{child}`")
+            kind = whole.schema[child].dataType.typeName()
+            each = whole.select((F.explode(column) if kind == "array" else column).alias("child")).where("child IS NOT NULL")
+            shaped = F.col("child") if each.schema["child"].dataType.typeName() == "struct" else F.struct(F.col("child").alias(child))
+            part = each.select(F.to_variant_object(shaped).alias("v"))
+            records = part if records is None else records.unionByName(part)
+    return spark.sql("SELECT parse_json(NULL) AS v").where("false") if records is None else records
 
 
 def load_records(spark: SparkSession, path: str, row_tag: str | None = None) -> tuple[DataFrame, str]:
@@ -79,7 +99,5 @@ def load_records(spark: SparkSession, path: str, row_tag: str | None = None) ->
         raise ValueError(f"unsupported file type {suffix!r}: {path}")
     kind = RECORD_FORMATS[suffix]
     if kind == "xml":
-        if row_tag is None:
-            raise ValueError("an XML source needs the tag of its records")
         return read_xml(spark, path, row_tag), kind
     return {"json": read_json, "jsonl": read_jsonl, "log": read_log}[kind](spark, path), kind

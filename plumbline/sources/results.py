@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from plumbline.sources.paths import path_exists, require_path
-from plumbline.types import RESULT_COLUMNS, RESULT_SCHEMA, assert_valid_results
+from plumbline.types import CHECK_COLUMNS, CHECK_SCHEMA, RESULT_COLUMNS, RESULT_SCHEMA, assert_valid_results
 
 
 def append_results(results: DataFrame, path: str) -> None:
@@ -29,6 +29,29 @@ def replace_run(results: DataFrame, path: str) -> None:
     )
 
 
+def checks_path(path: str) -> str:
+    """Where the failed checks of records lie beside the result table."""
+    return path.rstrip("/") + "_checks"
+
+
+def replace_run_checks(checks: DataFrame, path: str) -> None:
+    """Write the failed checks of runs in place of what their partitions held."""
+    (
+        checks.select(*CHECK_COLUMNS)
+        .write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("run_id")
+        .parquet(checks_path(path))
+    )
+
+
+def read_run_checks(spark: SparkSession, path: str) -> DataFrame:
+    """Failed checks of records by run, whatever their number; order by dataset and the three order keys."""
+    if not path_exists(spark, checks_path(path) + "/run_id=*"):
+        return spark.createDataFrame([], CHECK_SCHEMA).select(*CHECK_COLUMNS)
+    return spark.read.schema(CHECK_SCHEMA).parquet(checks_path(path)).select(*CHECK_COLUMNS)
+
+
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     """The stored records; none while the table does not exist."""
     if not path_exists(spark, path.rstrip("/") + "/run_id=*"):

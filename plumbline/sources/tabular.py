@@ -5,6 +5,7 @@ from __future__ import annotations
 import re
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from plumbline.sources.paths import require_path, suffix_of
 
@@ -13,6 +14,11 @@ SQL_PREFIXES = ("postgresql://", "mysql://", "sqlite://", "mssql://", "oracle://
 CSV_SUFFIXES = (".csv",)
 PARQUET_SUFFIXES = (".parquet", ".pq")
 
+# Types that a CSV column may have, narrowest first.
+CSV_TYPES = ("int", "bigint", "double", "boolean", "date", "timestamp")
+# Texts that a cast would take for more than they say: only these forms count.
+CSV_FORMS = {"double": r"^[^dDfF]+$|^[+-]?[iI]nf(inity)?$", "boolean": "(?i)^(true|false)$", "date": r"^\d{4}-\d{1,2}-\d{1,2}$"}
+
 # JDBC spelling of each prefix.
 JDBC_SCHEMES = {
     "postgresql://": "jdbc:postgresql://",
@@ -36,15 +42,48 @@ def load_table(spark: SparkSession, source: str, **jdbc_options: str) -> DataFra
     raise ValueError(f"unsupported file type {suffix!r}: {source}")
 
 
-def read_csv(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
-    """CSV with a header; empty fields are null.
+def csv_header(spark: SparkSession, path: str) -> DataFrame:
+    """The columns of a CSV file as text; nothing but its first line is looked at for them."""
+    return spark.read.options(header=True, escape='"').csv(path)
+
+
+# Fields that stand for a missing value.
+NULL_SPELLINGS = (
+    "", "#N/A", "#N/A N/A", "#NA", "-1.#IND", "-1.#QNAN", "-NaN", "-nan", "1.#IND", "1.#QNAN",
+    "<NA>", "N/A", "NA", "NULL", "NaN", "None", "n/a", "nan", "null",
+)
+
+
+def read_csv(spark: SparkSession, path: str, schema: str | None = None, multiline: bool = True) -> DataFrame:
+    """CSV with a header; empty fields and the usual spellings of "missing" are null.
 
-    Types are inferred, which reads the file once more; give a schema for large
-    inputs.
+    Without a schema every column is read as text once, nulls are taken out, and
+    the narrowest of whole number, number, truth value and instant that fits
+    all of its values is its type. ``multiline`` allows line breaks inside
+    quotes, for which a file is one task; without it large files are split.
     """
-    reader = spark.read.options(header=True, multiLine=True, escape='"', nullValue="", emptyValue="")
-    reader = reader.schema(schema) if schema else reader.option("inferSchema", True)
-    return reader.csv(path)
+    reader = spark.read.options(header=True, multiLine=multiline, escape='"', nullValue="", emptyValue="")
+    if schema:
+        return reader.schema(schema).csv(path)
+    text = reader.option("inferSchema", False).csv(path)
+    columns = [f.name for f in text.schema.fields]
+    missing = {c: F.when(~F.col(f"`{c}`").isin(*NULL_SPELLINGS), F.col(f"`{c}`")).alias(c) for c in columns}
+    if not columns:
+        return text
+    fits = []
+    for position, c in enumerate(columns):
+        value = missing[c]
+        filled = F.count(value)
+        for kind in CSV_TYPES:
+            cast = F.when(value.rlike(CSV_FORMS.get(kind, "")), value.try_cast(kind))
+            fits.append((F.count(cast) == filled).alias(f"{position}_{kind}"))
+        fits.append((filled > 0).alias(f"{position}_any"))
+    row = text.agg(*fits).first()
+    typed = []
+    for position, c in enumerate(columns):
+        kind = next((k for k in CSV_TYPES if row[f"{position}_any"] and row[f"{position}_{k}"]), "string")
+        typed.append(missing[c].cast(kind).alias(c) if kind != "string" else missing[c])
+    return text.select(*typed)
 
 
 def split_sql_source(source: str) -> tuple[str, str]:

@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from pyspark.sql.streaming import StreamingQueryListener
+
 from plumbline.config import as_of_column
 from plumbline.operators.columns import nullable_value
 from plumbline.streaming.sources import event_time
@@ -71,10 +73,37 @@ def drop_repeats(df: DataFrame, keys: list[str], ts: str, delay: str = "10 minut
     return timed.withWatermark(ts, delay).dropDuplicatesWithinWatermark(keys)
 
 
-def late_rows(query) -> int:
-    """Rows a running query has dropped behind its watermark so far."""
-    return sum(
-        operator.get("numRowsDroppedByWatermark", 0)
-        for progress in query.recentProgress
-        for operator in progress["stateOperators"]
-    )
+class LateRows(StreamingQueryListener):
+    """Rows that queries drop behind their watermarks, summed over every batch.
+
+    Progress kept on a query reaches back a limited number of batches; a
+    listener sees each one. Register it before the queries start.
+    """
+
+    def __init__(self):
+        self.dropped: dict[str, int] = {}
+
+    def onQueryStarted(self, event) -> None:
+        self.dropped.setdefault(str(event.id), 0)
+
+    def onQueryProgress(self, event) -> None:
+        late = sum(operator.numRowsDroppedByWatermark for operator in event.progress.stateOperators)
+        key = str(event.progress.id)
+        self.dropped[key] = self.dropped.get(key, 0) + late
+
+    def onQueryIdle(self, event) -> None:
+        pass
+
+    def onQueryTerminated(self, event) -> None:
+        pass
+
+    def of(self, query) -> int:
+        """Rows the query has dropped so far, over restarts in this session too."""
+        return self.dropped.get(str(query.id), 0)
+
+
+def count_late_rows(spark: SparkSession) -> LateRows:
+    """A registered listener that counts late rows from now on."""
+    listener = LateRows()
+    spark.streams.addListener(listener)
+    return listener

@@ -18,9 +18,12 @@ def quality_stream(
     checkpoint: str,
     as_of=None,
     config: QualityConfig = QualityConfig(),
+    trigger: dict | None = None,
 ) -> StreamingQuery:
     """Check each micro-batch and store its record under the batch's own run id.
 
+    ``trigger`` are the arguments of the writer's trigger, by default all that is available.
+
     A batch replayed after a failure replaces its partition, so every batch is
     counted once.
     """
@@ -40,7 +43,7 @@ def quality_stream(
     return (
         stream.writeStream.foreachBatch(check)
         .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
+        .trigger(**(trigger or {"availableNow": True}))
         .start()
     )
 

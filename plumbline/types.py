@@ -30,6 +30,24 @@ RESULT_COLUMNS = [
     "run_timestamp",
     "source_path",
 ]
+# A failed check of a run as a row of its own; the three keys before ``dimension`` give report order.
+CHECK_COLUMNS = [
+    "run_id",
+    "dataset_name",
+    "dimension_order",
+    "position",
+    "seq",
+    "dimension",
+    "check",
+    "column",
+    "expected",
+    "actual",
+    "severity",
+]
+CHECK_SCHEMA = (
+    "run_id string, dataset_name string, dimension_order int, position string, seq int, dimension string, "
+    "`check` string, `column` string, expected string, actual string, severity string"
+)
 
 
 def check_struct(check: str, column, expected, actual, severity) -> Column:

@@ -1,6 +1,7 @@
 """Readers, result store, inventory and the folder run."""
 
 import json
+import os
 
 import pytest
 from pyspark.sql import functions as F
@@ -100,8 +101,10 @@ def test_xml(spark, folder):
     records, kind = R.load_records(spark, path, row_tag="item")
     row = {r.id: r for r in records.collect()}[7]
     assert kind == "xml" and row.tag == ["a", "b"] and (row.note._text, row.note.lang) == ("hi", "en")
-    with pytest.raises(ValueError):
-        R.load_records(spark, path)
+    mixed = folder("m.xml", '<root><item id="7"/><item id="8"/><note>hi</note></root>')
+    rows, _ = R.load_records(spark, mixed)
+    got = sorted(json.dumps(json.loads(r.j), sort_keys=True) for r in rows.selectExpr("to_json(v) AS j").collect())
+    assert got == ['{"id": 7}', '{"id": 8}', '{"note": "hi"}']
 
 
 def test_text_encodings(spark, folder):
@@ -124,6 +127,24 @@ def test_rows_as_documents(spark, folder):
     assert [r.text for r in rows] == ["hello x", "y"] and rows[0].format == "csv"
 
 
+def test_csv_spellings_of_missing(spark, folder):
+    rows = T.read_csv(spark, folder("n.csv", "v,w,d,b\nNA,x,2024-01-02,true\n5,N/A,null,False\nnull,None,,NaN\n"))
+    assert dict(rows.dtypes) == {"v": "int", "w": "string", "d": "date", "b": "boolean"}
+    assert sum(r.v is None for r in rows.collect()) == 2 and rows.where("w is null").count() == 2
+
+
+def test_lines_of_white_space_are_blank(spark, folder):
+    path = folder("w.log", "\t\n\u3000 \nhello\n")
+    assert [r.j for r in R.read_log(spark, path).selectExpr("to_json(v) AS j").collect()] == ['{"raw_line":"hello"}']
+
+
+def test_unknown_charsets_do_not_stop_the_others(spark, folder):
+    folder("a.eml", 'Subject: a\nContent-Type: text/plain; charset="no-such"\n\nbody a')
+    folder("b.eml", "Subject: b\n\nbody b")
+    got = sorted(r.text for r in D.read_email(spark, folder.root, ".eml").collect())
+    assert got == ["Subject: a\nbody a", "Subject: b\nbody b"]
+
+
 def test_free_text_headers(spark):
     assert is_free_text_table(spark.createDataFrame([("a",)], ["Comment_Text"]))
     assert not is_free_text_table(spark.createDataFrame([("a",)], ["price"]))
@@ -177,10 +198,34 @@ def test_folder_run(spark, folder, tmp_path_factory):
     assert S.read_results(spark, store + "_copy").count() == 8
 
 
+def test_folder_run_leaves_no_file_out(spark, folder, tmp_path_factory):
+    text = "The cat and the dog are in the house. " * 20
+    folder("a.txt", text)
+    folder("B.TXT", text + "More of it here.")
+    folder("d.pdf", "x")
+    folder("ok.eml", "Subject: s\n\nhello")
+    folder("bad.eml", 'Subject: s\nContent-Type: text/plain; charset="none-such"\n\nhello')
+    folder("rec.jsonl", '{"a b": 1}\n{"c d": 2}')
+    os.makedirs(f"{folder.root}/sub")
+    folder("sub/c.txt", text)
+    store = str(tmp_path_factory.mktemp("store") / "results")
+    for _ in range(2):
+        assert run_folder(spark, folder.root, store, "r1", "2024-06-01") == 1
+    got = {r.dataset_name: r for r in S.read_results(spark, store).collect()}
+    assert S.read_results(spark, store).count() == len(got) == 7
+    assert set(got) == {"a", "B", "c", "d", "ok", "bad", "rec"}
+    assert got["d"].overall_score == 0 and "unsupported" in got["d"].failed_checks[0].actual
+    # Likely duplicates across files and folders, and across formats.
+    assert got["a"].dimensions.uniqueness == got["c"].dimensions.uniqueness == 0
+    assert got["ok"].dimensions.uniqueness == got["bad"].dimensions.uniqueness == 0 and got["B"].dimensions.uniqueness == 100
+    checks = S.read_run_checks(spark, store).where("dataset_name = 'rec'")
+    assert got["rec"].failed_checks == [] and checks.where("check = 'invalid_field_name'").count() == 2
+
+
 def test_staging(spark, tmp_path):
     records = spark.sql("""SELECT parse_json('{"a":{"b":1}}') AS v""")
     stage_records(records, str(tmp_path / "leaves"))
-    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "leaves")).collect()] == [("a.b", "1")]
+    assert [tuple(r) for r in spark.read.parquet(str(tmp_path / "leaves")).collect()] == [(0, "a.b", "1")]
     docs = spark.createDataFrame([("x", "the text")], "doc_id string, text string")
     for run in ("r1", "r2", "r2"):
         stage_features(docs, str(tmp_path / "features"), run, "2024-01-01")

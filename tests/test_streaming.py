@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from plumbline.sources.results import read_results
-from plumbline.streaming.metrics import drop_repeats, late_rows, window_freshness, window_metrics
+from plumbline.streaming.metrics import count_late_rows, drop_repeats, window_freshness, window_metrics
 from plumbline.streaming.runs import quality_stream, stored_stream_scores
 from plumbline.streaming.sources import event_time, read_stream
 
@@ -64,11 +64,20 @@ def test_late_rows_are_counted(spark, tmp_path):
     write(spark, path, rows([1]))
     schema = spark.read.parquet(path).schema
     # Spark drops by the watermark of the batch before, so it needs one batch to move.
-    for minute in (600, 601, 2):
+    for minute in (600, 601, 2, 602, 3, 603, 604, 605):
         write(spark, path, rows([minute]))
     stream = read_stream(spark, path, schema, max_files=1)
-    _, query = drain(spark, window_metrics(stream, "ts", ["v"]), "append", tmp_path)
-    assert late_rows(query) == 1
+    # The query itself remembers two batches only.
+    kept = spark.conf.get("spark.sql.streaming.numRecentProgressUpdates")
+    spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
+    late = count_late_rows(spark)
+    try:
+        _, query = drain(spark, window_metrics(stream, "ts", ["v"]), "append", tmp_path)
+        spark.sparkContext._jsc.sc().listenerBus().waitUntilEmpty()
+        assert late.of(query) == 2
+    finally:
+        spark.streams.removeListener(late)
+        spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
 
 
 def test_quality_per_batch(spark, tmp_path):

@@ -110,9 +110,7 @@ def test_trained_language(spark):
     assert got[7][0] == "en" and got[8] == ("de", 1.0) and got[9] == ("unknown", None)
 
 
-@pytest.mark.parametrize("limit", [500_000, 1])
-def test_dictionary_entities(spark, monkeypatch, limit):
-    monkeypatch.setattr(E, "BROADCAST_PHRASES", limit)
+def test_dictionary_entities(spark):
     docs = spark.createDataFrame([(1, "New York, new york and Lagos."), (2, "nothing")], "doc_id int, text string")
     places = spark.createDataFrame([("new york", "CITY"), ("lagos", "CITY"), ("york", "NAME")], "phrase string, label string")
     got = {(r.doc_id, r.label): r.n for r in E.dictionary_entities(docs, places, longest=2).collect()}
