@@ -106,13 +106,17 @@ def _stripped_field(value: Column, levels: int) -> Column:
     )
 
 
+REBUILT_LEVELS = 16
+
+
 def canonical_record(value: Column, levels: int) -> Column:
     """Text that is equal exactly when two records have the same non-null fields.
 
     VARIANT keeps object keys sorted, so most records are canonical as they
-    are; only those holding nulls, empty objects or exponents are rebuilt.
+    are; only those holding nulls, empty objects or exponents are rebuilt, down
+    to ``REBUILT_LEVELS``; what nests deeper is compared as it stands.
     """
     text = F.to_json(value)
     plain = ~(text.contains("null") | text.contains("{}") | text.rlike(r"\d(E|\.0[,}\]])"))
-    rebuilt = F.when(is_object(value), F.to_json(_stripped(value, levels)))
+    rebuilt = F.when(is_object(value), F.to_json(_stripped(value, min(levels, REBUILT_LEVELS))))
     return F.when(plain, text).otherwise(F.coalesce(rebuilt, text))

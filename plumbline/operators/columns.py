@@ -21,6 +21,7 @@ from pyspark.sql import Window
 from plumbline.config import StructuredRules, as_of_column
 from plumbline.functions import names
 from plumbline.functions.dates import parse_datetime, parse_number
+from plumbline.session import settled
 
 
 @dataclass(frozen=True)
@@ -131,22 +132,28 @@ def range_metrics(df: DataFrame, as_of, rules: StructuredRules) -> DataFrame:
     return values.select(*parsed).selectExpr(*aggregates)
 
 
-def outlier_counts(df: DataFrame, z_limit: float = 3.0) -> DataFrame:
+def outlier_counts(df: DataFrame, z_limit: float = 3.0, ranges: DataFrame | None = None) -> DataFrame:
     """One row, ``outliers_<position>`` per numeric column.
 
     A cell is an outlier when it lies more than ``z_limit`` sample standard
     deviations from its column's mean. The moments reach the counting scan as
-    a scalar subquery; a column with one value or no spread counts none.
+    a scalar subquery, from the row of :func:`range_metrics` where that is at
+    hand; a column with one value or no spread counts none.
     """
     infos = [c for c in describe(df) if c.kind == names.NUMERIC]
     if not infos:
         return df.select().agg(F.count(F.lit(1)).alias("rows"))
     values = positional(df, infos).select(*[F.col(c.ref).cast("double").alias(c.ref) for c in infos])
-    moments = values.agg(
+    if ranges is None:
+        ranges = values.agg(
+            *[F.avg(c.ref).alias(f"mean_{c.position}") for c in infos],
+            *[F.stddev_samp(c.ref).alias(f"std_{c.position}") for c in infos],
+        )
+    moments = ranges.select(
         F.struct(
-            *[F.avg(c.ref).alias(f"m_{c.position}") for c in infos],
-            *[F.stddev_samp(c.ref).alias(f"s_{c.position}") for c in infos],
-        ).alias("moments")
+            *[F.col(f"mean_{c.position}").alias(f"m_{c.position}") for c in infos],
+            *[F.col(f"std_{c.position}").alias(f"s_{c.position}") for c in infos],
+        )
     ).scalar()
     counts = [
         f"count_if(abs(({c.ref} - moments.m_{c.position}) / nullif(moments.s_{c.position}, 0)) > {z_limit}) "
@@ -169,15 +176,17 @@ def comparable(column: Column, dtype: T.DataType) -> tuple[str, Column]:
         return "bigint", F.unix_date(column).cast("bigint")
     if isinstance(dtype, (T.TimestampType, T.TimestampNTZType)):
         return dtype.simpleString(), column
-    return "string", text_value(column, dtype)
+    # A long text travels as its digest, which is longer than any text that stays.
+    text = text_value(column, dtype)
+    return "string", F.when(F.octet_length(text) >= 64, F.sha2(text, 256)).otherwise(text)
 
 
 def distinct_counts(df: DataFrame, infos: list[ColumnInfo] | None = None) -> DataFrame:
     """``(ref, unique_count)``: exact distinct non-null values of each column.
 
     Columns of one comparable type are unpivoted to (column, value) together,
-    so numbers and instants shuffle in eight bytes and only text travels as
-    text. Both groupings combine inside the map task, so a value that fills a
+    so numbers and instants shuffle in eight bytes and text in 64 at most. Both
+    groupings combine inside the map task, so a value that fills a
     third of the table still travels as one row per task.
     """
     infos = describe(df) if infos is None else infos
@@ -314,25 +323,18 @@ def approx_medians(df: DataFrame, accuracy: int = 10_000) -> DataFrame:
 def sample_values(df: DataFrame, order_key: str, size: int = 5) -> DataFrame:
     """``(column, rank, value)``: the first non-null values of each column by ``order_key``.
 
-    Each column is a top-k over its own two-column scan, so nothing is sorted whole.
+    One scan gives (column, value) pairs; Spark keeps ``size`` of each column in
+    every task before the shuffle, so nothing is sorted whole.
     """
-    tops = None
-    for c in describe(df):
-        value = text_value(names.quoted(c.name), c.dtype)
-        top = (
-            df.select(
-                F.lit(c.position).alias("position"),
-                F.lit(c.name).alias("column"),
-                names.quoted(order_key).alias("order_key"),
-                value.alias("value"),
-            )
-            .where(F.col("value").isNotNull())
-            .orderBy("order_key")
-            .limit(size)
-        )
-        tops = top if tops is None else tops.unionByName(top)
-    rank = F.row_number().over(Window.partitionBy("position").orderBy("order_key"))
-    return tops.select("position", "column", rank.cast("bigint").alias("rank"), "value")
+    infos = describe(df)
+    texts = [text_value(names.quoted(c.name), c.dtype).alias(c.ref) for c in infos]
+    pairs = df.select(names.quoted(order_key).alias("order_key"), *texts)
+    pairs = pairs.unpivot(["order_key"], [c.ref for c in infos], "ref", "value").where(F.col("value").isNotNull())
+    rank = F.row_number().over(Window.partitionBy("ref").orderBy("order_key"))
+    tops = pairs.withColumn("rank", rank.cast("bigint")).where(F.col("rank") <= size)
+    known = F.create_map(*[F.lit(x) for c in infos for x in (c.ref, c.name)])
+    position = F.substring("ref", 2, 10).cast("int").alias("position")
+    return tops.select(position, F.element_at(known, F.col("ref")).alias("column"), "rank", "value")
 
 
 # -- the joined profile -------------------------------------------------------
@@ -350,11 +352,12 @@ def column_metrics(
     null when it exceeds one.
     """
     infos, strict_names = describe(df), rules.strict_names
-    wide = range_metrics(df, as_of, rules)
+    # One row, computed once: the outlier scan takes its moments from it.
+    wide = ranges = settled(range_metrics(df, as_of, rules))
     available = set(wide.columns)
     wide = wide.withColumn("unique_counts", unique_count_map(df, distinct, strict_names))
     if any(c.kind == names.NUMERIC for c in infos):
-        counts = outlier_counts(df, rules.z_limit)
+        counts = outlier_counts(df, rules.z_limit, ranges)
         wide = wide.withColumn("outliers", counts.select(F.struct(*counts.columns)).scalar())
 
     def metric(name: str, i: int, kind: str) -> str:

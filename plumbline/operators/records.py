@@ -9,6 +9,8 @@ selected by name and measured in one wide aggregate, without any explosion.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -24,6 +26,10 @@ from plumbline.functions.jsontext import (
 )
 from plumbline.operators.columns import group_value, nullable_value
 from plumbline.operators.duplicates import duplicate_summary
+from plumbline.session import settled
+
+# Levels of nesting that one plan walks.
+STAGE_LEVELS = 16
 
 
 def max_nesting_depth(records: DataFrame) -> DataFrame:
@@ -43,7 +49,8 @@ def flatten_records(records: DataFrame, levels: int | None = None) -> DataFrame:
     Objects open to dot paths, arrays stay leaves, empty objects vanish.
     Without ``levels`` the depth is measured first, so the walk always reaches
     the bottom; with it, an object left below the last level fails the job
-    rather than going missing.
+    rather than going missing. A plan holds ``STAGE_LEVELS`` levels; nodes that
+    lie deeper are settled and walked on, so one deep record costs small jobs.
     """
     if levels is None:
         levels = measured_levels(records)
@@ -54,23 +61,35 @@ def flatten_records(records: DataFrame, levels: int | None = None) -> DataFrame:
     nodes = records.selectExpr(
         *[f"`{c}`" for c in others], "CAST(NULL AS STRING) AS path", "v AS node", "schema_of_variant(v) AS shape"
     )
-    for _ in range(max(levels, 1)):
-        opened = nodes.withColumn("open", F.expr("CASE WHEN startswith(shape, 'OBJECT') THEN node END"))
-        children = opened.lateralJoin(spark.tvf.variant_explode_outer(F.col("open").outer()))
-        nodes = children.where("open IS NULL OR key IS NOT NULL").selectExpr(
-            *[f"`{c}`" for c in others],
-            "CASE WHEN open IS NOT NULL THEN concat_ws('.', path, key) ELSE path END AS path",
-            "CASE WHEN open IS NOT NULL THEN value ELSE node END AS node",
-            "CASE WHEN open IS NOT NULL THEN schema_of_variant(value) ELSE shape END AS shape",
-        )
+    left, parts = max(levels, 1), []
+    while True:
+        for _ in range(min(left, STAGE_LEVELS)):
+            opened = nodes.withColumn("open", F.expr("CASE WHEN startswith(shape, 'OBJECT') THEN node END"))
+            children = opened.lateralJoin(spark.tvf.variant_explode_outer(F.col("open").outer()))
+            nodes = children.where("open IS NULL OR key IS NOT NULL").selectExpr(
+                *[f"`{c}`" for c in others],
+                "CASE WHEN open IS NOT NULL THEN concat_ws('.', path, key) ELSE path END AS path",
+                "CASE WHEN open IS NOT NULL THEN value ELSE node END AS node",
+                "CASE WHEN open IS NOT NULL THEN schema_of_variant(value) ELSE shape END AS shape",
+            )
+        left -= STAGE_LEVELS
+        if left <= 0:
+            break
+        # The few nodes that still open go on in a plan of their own.
+        is_open = F.expr("node IS NOT NULL AND coalesce(startswith(shape, 'OBJECT'), false)")
+        parts.append(nodes.where(~is_open))
+        nodes = settled(nodes.where(is_open))
     # An empty object below the last level is no leaf; any other object there is unfinished.
-    checked = nodes.withColumn(
-        "node",
-        F.expr(
-            "CASE WHEN startswith(shape, 'OBJECT') AND to_json(node) <> '{}' THEN "
-            f"raise_error('records nest deeper than {levels} levels; measure the depth first') ELSE node END"
-        ),
+    parts.append(
+        nodes.withColumn(
+            "node",
+            F.expr(
+                "CASE WHEN startswith(shape, 'OBJECT') AND to_json(node) <> '{}' THEN "
+                f"raise_error('records nest deeper than {levels} levels; measure the depth first') ELSE node END"
+            ),
+        )
     )
+    checked = reduce(DataFrame.unionByName, parts)
     return checked.where("path IS NOT NULL AND NOT (node IS NOT NULL AND startswith(shape, 'OBJECT'))")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from plumbline.session import settled
+
 SALTS = 1024
 
 
@@ -18,6 +20,8 @@ def with_key_counts(df: DataFrame, keys: list[str], name: str) -> DataFrame:
     carry their position as a salt into that second join so that they spread
     instead of meeting in one task, rows that are equal in everything too.
     """
+    # Counted, totalled and joined: evaluated once for all three.
+    df = settled(df)
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
     total = df.agg(F.count(F.lit(1)).alias("n")).scalar()
     shared = counts.withColumn("_total", total)

@@ -142,7 +142,7 @@ def _documents(spark, folder, sources, as_of, config: QualityConfig, run_id: str
         features = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), good)
         parts.append(
             validate_features(
-                features, "doc_id", as_of, "modified_at", config, run_id=run_id, source_path="source_path"
+                features, "doc_id", as_of, "modified_at", config, unique_names=False, run_id=run_id, source_path="source_path"
             )
         )
     return parts, failures

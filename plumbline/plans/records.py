@@ -244,12 +244,12 @@ class RecordPlan:
         if inline:
             ranked = self.ranked_checks()
             gathered = ranked.agg(F.collect_list(F.struct(*ranked.columns)).alias("ranked")).scalar()
-            failures = ordered_failures(gathered)
+            scored = self.scores().withColumn("ranked", gathered)
+            failures = ordered_failures(F.col("ranked"))
         else:
-            failures = F.array().cast(f"array<{CHECK_TYPE}>")
+            scored, failures = self.scores(), F.array().cast(f"array<{CHECK_TYPE}>")
         finished = (
-            self.scores()
-            .withColumn("failed_checks", failures)
+            scored.withColumn("failed_checks", failures)
             .withColumn(
                 "metadata",
                 F.create_map(

@@ -22,8 +22,33 @@ def as_record(value: Column) -> Column:
     return F.when(is_object(value), value).otherwise(F.to_variant_object(F.struct(value.alias("value"))))
 
 
+def _json_keys(spark: SparkSession, path: str) -> list[str] | None:
+    """Keys of the objects in a JSON source, None where it holds anything else or keys alike but for case."""
+    sensitive = "spark.sql.caseSensitive"
+    before = spark.conf.get(sensitive)
+    spark.conf.set(sensitive, "true")
+    try:
+        keys = spark.read.json(path, multiLine=True).columns
+    finally:
+        spark.conf.set(sensitive, before)
+    alike = len({key.lower() for key in keys}) < len(keys)
+    return None if alike or not keys or "_corrupt_record" in keys or any("`" in key for key in keys) else keys
+
+
 def read_json(spark: SparkSession, path: str) -> DataFrame:
-    """A JSON document per file: an array gives a record per element, an object one record."""
+    """A JSON document per file: an array gives a record per element, an object one record.
+
+    Arrays of objects of any size are read element by element. A file with other
+    elements, or with keys that differ in case alone, is parsed as one value of
+    at most 128 MiB.
+    """
+    keys = _json_keys(spark, path)
+    if keys is not None:
+        columns = spark.read.schema(", ".join(f"`{key}` variant" for key in keys)).json(path, multiLine=True)
+        pairs = [part for key in keys for part in (F.lit(key), F.col(f"`{key}`"))]
+        # A key that is absent is a null column, a null under a key is a null variant.
+        given = F.map_filter(F.create_map(*pairs), lambda _, value: value.isNotNull())
+        return columns.select(F.to_variant_object(given).alias("v"))
     files = spark.read.text(path, wholetext=True)
     documents = files.select(F.parse_json("value").alias("document"))
     is_array = F.schema_of_variant("document").startswith("ARRAY")

@@ -73,6 +73,17 @@ def test_flattening(spark):
     assert rows == {("a", None), ("b.c.d", "1"), ("f", '[1,{"g":2}]'), ("a.x", "y")}
 
 
+def test_very_deep_records_are_scored(spark):
+    deep = {"k": 1}
+    for _ in range(89):
+        deep = {"n": deep}
+    records = variants(spark, deep, {"k": 2, "created_at": "2024-05-30"})
+    leaves = {r.path.count("."): r.j for r in flatten_records(records).selectExpr("path", "to_json(node) j").where("path <> 'created_at'").collect()}
+    assert leaves == {89: "1", 0: "2"}
+    found = [r.check for r in record_checks(records, "2024-06-01").collect()]
+    assert "excessive_nesting_depth" in found
+
+
 def test_deep_records_are_whole(spark):
     deep = {"k": 1}
     for _ in range(14):
