@@ -228,4 +228,7 @@ def accepted(documents: DataFrame, model: RuleModel, threshold: float = 0.5, tex
     """The rows of ``documents`` that score ``threshold`` or more, with their own columns."""
     whole = F.struct(*[F.col(f"`{c}`") for c in documents.columns])
     scored = with_statistics(documents, [whole], F.col(f"`{text}`"))
-    return scored.where(model.column() >= threshold).select("_keep0.*")
+    # A filter would be pushed below the statistics and compute each of them once for every rule that
+    # reads it; it is not pushed past a column that is not deterministic, though this one always is the score.
+    settled_score = F.when(F.monotonically_increasing_id() >= 0, model.column()).alias("score")
+    return scored.select("_keep0", settled_score).where(F.col("score") >= threshold).select("_keep0.*")
