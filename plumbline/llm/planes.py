@@ -133,14 +133,16 @@ def write_ids(
             )
 
         for batch in batches:
-            for key, value in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                doc_ids.append(key)
-                parts.append(_encoder(path).ids(value) + end)
-                held += len(parts[-1]) // 4
-                if held >= segment_ids:
-                    yield full()
-                    segment, first = segment + 1, first + held
-                    doc_ids, parts, held = [], [], 0
+            for at in range(0, batch.num_rows, 256):
+                some = batch.slice(at, 256)
+                for key, ids in zip(some.column(0).to_pylist(), _encoder(path).ids(some.column(1).to_pylist()), strict=True):
+                    doc_ids.append(key)
+                    parts.append(ids + end)
+                    held += len(parts[-1]) // 4
+                    if held >= segment_ids:
+                        yield full()
+                        segment, first = segment + 1, first + held
+                        doc_ids, parts, held = [], [], 0
         if parts:
             yield full()
 
@@ -184,7 +186,7 @@ def read_documents(spark: SparkSession, folder: str, with_ids: bool = True) -> D
                 names = ["doc_id", "start", "n_tokens", "ids_crc32"]
                 if with_ids:
                     values = pa.array(np.frombuffer(raw, "<u4").astype(np.int64), pa.int64())
-                    columns.append(pa.LargeListArray.from_arrays(pa.array(ends, pa.int64()), values))
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends, pa.int32()), values))
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(columns, names=names)
 

@@ -60,7 +60,7 @@ def tokenizer(path: str):
 
 
 def safe_words(text: str) -> list[str] | None:
-    """The words of ``text``, all but the first with their space.
+    """The words of ``text``, between its spaces.
 
     None where cutting at spaces may not be exact: unless every space stands
     alone between two printable characters, and no white space but line feeds occurs.
@@ -70,8 +70,7 @@ def safe_words(text: str) -> list[str] | None:
     flat = text.replace("\n", "x")
     if "  " in text or not flat.isprintable() or text[0] in " \n" or text[-1] in " \n" or " \n" in text or "\n " in text:
         return None
-    parts = text.split(" ")
-    return parts[:1] + [" " + part for part in parts[1:]]
+    return text.split(" ")
 
 
 ENDINGS = ".,;:!?"
@@ -99,9 +98,10 @@ def parts_of(word: str) -> list[str]:
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers, as the library gives them."""
 
-    def __init__(self, path: str, limit: int = REMEMBERED_WORDS):
-        self.known = tokenizer(path)
-        self.words, self.parts = Remembered(limit), Remembered(limit)
+    def __init__(self, path: str, limit: int = 500_000):
+        self.known, self.limit = tokenizer(path), limit
+        self.words, self.old, self.fresh = {}, {}, 0
+        self.parts = Remembered(limit)
 
     def encoded(self, items: list[str]) -> list[bytes]:
         found = self.known.encode_batch_fast(items, add_special_tokens=False)
@@ -114,15 +114,31 @@ class Encoder:
         values = self.parts.fill(missing, self.encoded) if missing else {}
         return [b"".join([values[p] if p in values else kept[p] for p in cut]) for cut in cuts]
 
-    def ids(self, text: str) -> bytes:
-        cut = safe_words(text)
-        if cut is None:
-            return self.encoded([text])[0]
-        got = list(map(self.words.new.get, cut))
-        if None in got:
-            values = self.words.fill({word for word, ids in zip(cut, got, strict=True) if ids is None}, self.in_words)
-            got = [values[word] if ids is None else ids for word, ids in zip(cut, got, strict=True)]
-        return b"".join(got)
+    def _learn(self, missing: set[str]) -> dict[str, bytes]:
+        """Ids of words that are not in ``words``, each with the space before it."""
+        if len(self.words) > self.limit or self.fresh > LONGEST_KEPT * self.limit:
+            self.old, self.words, self.fresh = self.words, {}, 0
+        found = {word: self.old[word] for word in missing if word in self.old}
+        new = [word for word in missing if word not in found]
+        if new:
+            found.update(zip(new, self.in_words([" " + word for word in new]), strict=True))
+        self.words.update(found)
+        self.fresh += sum(map(len, missing))
+        return found
+
+    def ids(self, texts: list[str]) -> list[bytes]:
+        cuts = [safe_words(text) for text in texts]
+        firsts = iter(self.in_words([cut[0] for cut in cuts if cut]))
+        wholes = iter(self.encoded([text for text, cut in zip(texts, cuts, strict=True) if cut is None]))
+        known = self.words.get
+        got = [[next(firsts), *map(known, cut[1:])] if cut else [] for cut in cuts]
+        holes = [[k for k, ids in enumerate(one) if ids is None] if None in one else () for one in got]
+        missing = {cut[k] for cut, gaps in zip(cuts, holes, strict=True) for k in gaps}
+        found = self._learn(missing) if missing else {}
+        for cut, one, gaps in zip(cuts, got, holes, strict=True):
+            for k in gaps:
+                one[k] = found[cut[k]]
+        return [next(wholes) if cut is None else b"".join(one) for cut, one in zip(cuts, got, strict=True)]
 
 
 # The library's own pre-token pattern: a fixed value.
@@ -191,6 +207,7 @@ class Counter:
         cut = safe_words(text)
         if cut is None:
             return self.in_words([text])[0]
+        cut[1:] = [" " + word for word in cut[1:]]
         got = list(map(self.words.new.get, cut))
         if None not in got:
             return sum(got)
