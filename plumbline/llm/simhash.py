@@ -82,28 +82,35 @@ def _posting_keys(fp: Column, differing: int) -> Column:
     return F.array(*keys)
 
 
+def _spanning(n: int, near) -> list[tuple[int, int]]:
+    """Edges that connect what is linked among ``n`` rows: a tree, not every pair.
+
+    ``near(at)`` says which of the rows from ``at`` on (columns) are near the next 256 (rows).
+    """
+    group, edges = np.arange(n), []
+    for at in range(0, n, 256):
+        hit = near(at)
+        hit &= np.arange(hit.shape[1])[None, :] > np.arange(hit.shape[0])[:, None]
+        for row in np.flatnonzero(hit.any(axis=1)).tolist():
+            to, a = np.flatnonzero(hit[row]) + at, at + row
+            to = to[group[to] != group[a]]
+            if len(to):
+                joined, first = np.unique(group[to], return_index=True)
+                edges += [(a, b) for b in to[first].tolist()]
+                joined = np.append(joined, group[a])
+                group[np.isin(group, joined)] = joined.min()
+    return edges
+
+
 def _links_within(values: np.ndarray, differing: int) -> list[tuple[int, int]]:
-    """Edges that connect what is linked inside one posting: a tree, not every pair."""
-    n = len(values)
-    parent = list(range(n))
-
-    def top(x: int) -> int:
-        while parent[x] != x:
-            parent[x] = x = parent[parent[x]]
-        return x
-
-    edges = []
-    for at in range(0, n, 512):
-        some = values[at : at + 512]
-        differ = some[:, None] ^ values[None, at:]
+    """Edges that connect what is linked inside one posting."""
+
+    def near(at: int) -> np.ndarray:
+        differ = values[at : at + 256, None] ^ values[None, at:]
         shared = (differ.view(np.uint8).reshape(*differ.shape, BYTES) == 0).sum(axis=2)
-        near = (shared >= BYTES - differing) & (np.bitwise_count(differ) <= differing)
-        left, right = np.nonzero(near)
-        for a, b in zip((left + at).tolist(), (right + at).tolist()):
-            if a < b and (x := top(a)) != (y := top(b)):
-                parent[max(x, y)] = min(x, y)
-                edges.append((a, b))
-    return edges
+        return (shared >= BYTES - differing) & (np.bitwise_count(differ) <= differing)
+
+    return _spanning(len(values), near)
 
 
 def linked(distinct: DataFrame, differing: int = 2) -> DataFrame:
@@ -262,20 +269,8 @@ def _wide_edges(kinds: DataFrame, differing: int, slots: int, key_bytes: int) ->
             if len(kinds_held) < 2:
                 return []
             fps = np.frombuffer(b"".join(fps_held), "<u8").reshape(len(fps_held), -1)
-            parent, edges = list(range(len(fps))), []
-
-            def top(x: int) -> int:
-                while parent[x] != x:
-                    parent[x] = x = parent[parent[x]]
-                return x
-
-            for at in range(0, len(fps), 256):
-                left, right = np.nonzero(near(fps[at : at + 256, None] ^ fps[None, at:], differing))
-                for a, b in zip((left + at).tolist(), (right + at).tolist()):
-                    if a < b and (x := top(a)) != (y := top(b)):
-                        parent[max(x, y)] = min(x, y)
-                        edges.append((kinds_held[a], kinds_held[b]))
-            return edges
+            edges = _spanning(len(fps), lambda at: near(fps[at : at + 256, None] ^ fps[None, at:], differing))
+            return [(kinds_held[a], kinds_held[b]) for a, b in edges]
 
         for batch in batches:
             if not batch.num_rows:
