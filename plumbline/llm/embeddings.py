@@ -1,9 +1,9 @@
 """Near-duplicate vectors by iterative quantisation and multi-index hashing.
 
-A rotation learned on a bounded sample turns vectors into balanced binary codes.
-A code is cut into substrings, each with its own table, keyed by the substring
+Rotations learned on a bounded sample turn vectors into balanced binary codes, two
+of 64 bits for each vector. A code is cut into substrings, each with its own table, keyed by the substring
 with one bit left out in turn, so vectors that differ in at most one bit of any
-substring meet. Meetings are found on codes alone; only buckets in which two
+substring meet. Meetings are found on codes alone; only blocks of buckets in which two
 codes are close receive the vectors, and rank them by cosine. A pair that meets
 in several buckets counts in the first of them only, so no pair is ever written
 out: a bucket gives link counts, and a tree of edges for the components.
@@ -24,12 +24,13 @@ from plumbline.llm.shared import stored
 
 # The rotation is fitted on so many different vectors, chosen by their hash; all are indexed.
 FIT_VECTORS, ROUNDS = 20_000, 50
-# Substrings of a code. Fewer and longer ones for more vectors: 64 bits in 4 tables
-# of 16 bits suit up to some ten million, 2 tables of 32 bits many billions.
+# Substrings of a code: 64 bits in 4 tables of 16 bits. Longer ones lose pairs.
 TABLES = 4
-# Codes further apart than this are not ranked by cosine. At a cosine of 0.9 codes differ
-# in 9 of 64 bits, give or take 3; unrelated ones in 32.
-CODE_BITS_APART = 14
+# Codes by rotations of their own: who meets in neither is not found.
+CODES = 2
+# Vectors whose codes are further apart than this are not ranked by cosine. At a cosine of
+# 0.9 they differ in 18 of 128 bits, give or take 4; unrelated ones in 64.
+CODE_BITS_APART = 38
 # Buckets up to this size are compared all at once, neighbour by neighbour.
 SMALL_BUCKET = 64
 # Members of a bucket that one task compares with as many others.
@@ -53,6 +54,17 @@ def fit_rotation(x: np.ndarray, rounds: int = ROUNDS, seed: int = 1) -> tuple[np
     return mean, axes @ turn
 
 
+def fit_codes(x: np.ndarray, codes: int = CODES) -> tuple[np.ndarray, list[np.ndarray]]:
+    """(mean, projections): 64 columns for each code, from as many rotations as short vectors take."""
+    mean, first = fit_rotation(x)
+    columns, seed = [first], 1
+    while sum(c.shape[1] for c in columns) < 64 * codes:
+        seed += 1
+        columns.append(fit_rotation(x, seed=seed)[1])
+    wide = np.hstack(columns)
+    return mean, [wide[:, 64 * k : 64 * k + 64] for k in range(codes)]
+
+
 def codes_of(x: np.ndarray, mean: np.ndarray, projection: np.ndarray) -> np.ndarray:
     bits = (x - mean) @ projection >= 0
     if bits.shape[1] < 64:
@@ -85,6 +97,14 @@ def first_meeting(differ: np.ndarray, tables: int) -> np.ndarray:
     return first
 
 
+def met_at(first: np.ndarray, second: np.ndarray, tables: int) -> np.ndarray:
+    """The slot at which vectors count whose two codes differ in these bits, -1 for none or if they are far apart."""
+    one, two = first_meeting(first, tables), first_meeting(second, tables)
+    slot = np.where(one >= 0, one, np.where(two >= 0, two + 64, -1))
+    apart = np.bitwise_count(first).astype(np.int32) + np.bitwise_count(second)
+    return np.where(apart <= CODE_BITS_APART, slot, -1)
+
+
 def _tree(left: list[int], right: list[int], parent: dict[int, int], edges: list[tuple[int, int]]) -> None:
     def top(x: int) -> int:
         while parent.setdefault(x, x) != x:
@@ -159,121 +179,107 @@ def _linked(kinds: DataFrame, threshold: float, tables: int) -> tuple[DataFrame,
     spark = kinds.sparkSession
     sample = kinds.orderBy("key").limit(FIT_VECTORS).select("v").toPandas()["v"]
     x = np.array([np.asarray(v, float) for v in sample])
-    mean, projection = fit_rotation(x / np.linalg.norm(x, axis=1)[:, None])
-    model = spark.sparkContext.broadcast((mean, projection))
+    model = spark.sparkContext.broadcast(fit_codes(x / np.linalg.norm(x, axis=1)[:, None]))
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        mean, projections = model.value
         for batch in batches:
-            vectors = _matrix(batch.column(2))
-            code = codes_of(vectors / np.linalg.norm(vectors, axis=1)[:, None], *model.value) if len(vectors) else np.zeros(0, np.uint64)
+            vectors = _matrix(batch.column(1))
+            unit = vectors / np.linalg.norm(vectors, axis=1)[:, None]
+            codes = [codes_of(unit, mean, p) if len(vectors) else np.zeros(0, np.uint64) for p in projections]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(code.view(np.int64), pa.int64())], names=["kind", "n", "code"]
+                [batch.column(0), *(pa.array(c.view(np.int64), pa.int64()) for c in codes)], names=["kind", "code", "code2"]
             )
 
-    coded = stored(kinds.select("kind", "n", "v").mapInArrow(encode, "kind long, n long, code long"), "vectors-coded")
+    coded = stored(kinds.select("kind", "v").mapInArrow(encode, "kind long, code long, code2 long"), "vectors-coded")
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            code = batch.column(1).to_numpy().view(np.uint64)
-            slots, values = bucket_keys(code, tables)
-            k = len(slots)
-            yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array(np.tile(slots, len(code)), pa.int32()),
-                    pa.array(values.reshape(-1), pa.int64()),
-                    pa.array(np.repeat(batch.column(0).to_numpy(), k)),
-                    pa.array(np.repeat(code.view(np.int64), k)),
-                ],
-                names=["slot", "value", "kind", "code"],
-            )
-
-    meetings = coded.select("kind", "code").mapInArrow(spread, "slot int, value long, kind long, code long")
+            kind, code, code2 = (batch.column(k).to_numpy() for k in range(3))
+            for number, part in enumerate((code, code2)):
+                slots, values = bucket_keys(part.view(np.uint64), tables)
+                k = len(slots)
+                columns = [np.tile(slots + np.int32(64 * number), len(kind)), values.reshape(-1), *(np.repeat(c, k) for c in (kind, code, code2))]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["slot", "value", "kind", "code", "code2"])
+
+    meetings = coded.mapInArrow(spread, "slot int, value long, kind long, code long, code2 long")
+    # A bucket of any size is cut into blocks, and every pair of blocks is a task of its own.
+    large = meetings.groupBy("slot", "value").count().where(F.col("count") > BLOCK)
+    large = stored(large.select("slot", "value", F.ceil(F.col("count") / F.lit(BLOCK)).cast("int").alias("blocks")), "vectors-large")
+    placed = meetings.join(large, ["slot", "value"], "left").withColumn("blocks", F.coalesce("blocks", F.lit(1)))
+    placed = placed.withColumn("block", F.pmod(F.xxhash64("kind"), "blocks").cast("int"))
+    each = placed.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    columns = ["slot", "value", "low", "high", "block", "kind", "code", "code2"]
+    each = each.withColumn("low", F.least("block", "other")).withColumn("high", F.greatest("block", "other")).select(columns)
 
     def close_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Members of buckets in which some two codes are close and meet for the first time."""
-        kept_slot, kept_value, kinds_held, codes_held = None, None, [], []
-
-        def settled() -> list[tuple]:
-            if len(kinds_held) < 2:
-                return []
-            code = np.array(codes_held, np.int64).view(np.uint64)
-            near = np.zeros(len(code), bool)
-            for at in range(0, len(code), BLOCK):
-                for to in range(at, len(code), BLOCK):
-                    differ = code[at : at + BLOCK, None] ^ code[None, to : to + BLOCK]
-                    hit = (np.bitwise_count(differ) <= CODE_BITS_APART) & (first_meeting(differ, tables) == kept_slot)
-                    if to == at:
-                        np.fill_diagonal(hit, False)
-                    near[at : at + BLOCK] |= hit.any(axis=1)
-                    near[to : to + BLOCK] |= hit.any(axis=0)
-            chosen = np.flatnonzero(near).tolist()
-            return [(int(kept_slot), int(kept_value), kinds_held[k], codes_held[k]) for k in chosen]
-
-        def batch_of(found: list[tuple]) -> pa.RecordBatch:
-            kinds_ = [pa.int32(), pa.int64(), pa.int64(), pa.int64()]
-            return pa.RecordBatch.from_arrays(
-                [pa.array([f[k] for f in found], kinds_[k]) for k in range(4)], names=["slot", "value", "kind", "code"]
-            )
+        """Members of block pairs of which some two codes are close and meet for the first time."""
+        current, held = None, []
+
+        def settled() -> Iterator[pa.RecordBatch]:
+            rows = pa.Table.from_batches(held).combine_chunks() if held else []
+            if len(rows) < 2:
+                return
+            block, code, code2 = rows["block"].to_numpy(), *(rows[c].to_numpy().view(np.uint64) for c in ("code", "code2"))
+            slot, _, low, high = current
+            left, right = np.flatnonzero(block == low), np.flatnonzero(block == high)
+            near = np.zeros(len(rows), bool)
+            for at in range(0, len(left), 512):
+                some = left[at : at + 512]
+                hit = met_at(code[some, None] ^ code[None, right], code2[some, None] ^ code2[None, right], tables) == slot
+                hit &= some[:, None] != right[None, :]
+                near[some] |= hit.any(axis=1)
+                near[right] |= hit.any(axis=0)
+            yield from rows.filter(pa.array(near)).to_batches()
 
         for batch in batches:
-            slot, value, kind, code = (batch.column(k).to_numpy() for k in range(4))
-            if not len(slot):
+            if not batch.num_rows:
                 continue
-            starts = np.concatenate([[0], np.flatnonzero((slot[1:] != slot[:-1]) | (value[1:] != value[:-1])) + 1])
+            slot, value, low, high, _, _, code, code2 = (batch.column(k).to_numpy() for k in range(8))
+            changes = (slot[1:] != slot[:-1]) | (value[1:] != value[:-1]) | (low[1:] != low[:-1]) | (high[1:] != high[:-1])
+            starts = np.concatenate([[0], np.flatnonzero(changes) + 1])
             ends = np.append(starts[1:], len(slot))
             size = ends - starts
-            inner = np.ones(len(starts), bool)
+            inner = low[starts] == high[starts]
             inner[:1] = inner[-1:] = False
-            small = inner & (size > 1) & (size <= SMALL_BUCKET)
+            small = inner & (size <= SMALL_BUCKET)
             bucket = np.repeat(np.where(small, np.arange(len(starts)), -1), size)
             near = np.zeros(len(slot), bool)
-            bits = code.view(np.uint64)
+            bits, bits2 = code.view(np.uint64), code2.view(np.uint64)
             for lag in range(1, int(size[small].max()) if small.any() else 0):
                 at = np.flatnonzero((bucket[:-lag] >= 0) & (bucket[:-lag] == bucket[lag:]))
-                differ = bits[at] ^ bits[at + lag]
-                hit = at[(np.bitwise_count(differ) <= CODE_BITS_APART) & (first_meeting(differ, tables) == slot[at])]
+                hit = at[met_at(bits[at] ^ bits[at + lag], bits2[at] ^ bits2[at + lag], tables) == slot[at]]
                 near[hit] = near[hit + lag] = True
-            found = list(zip(slot[near].tolist(), value[near].tolist(), kind[near].tolist(), code[near].tolist()))
-            for k in np.flatnonzero(~inner | (size > SMALL_BUCKET)).tolist():
+            yield batch.filter(pa.array(near))
+            for k in np.flatnonzero(~small).tolist():
                 a, b = int(starts[k]), int(ends[k])
-                if (slot[a], value[a]) != (kept_slot, kept_value):
-                    found += settled()
-                    kept_slot, kept_value, kinds_held, codes_held = slot[a], value[a], [], []
-                kinds_held += kind[a:b].tolist()
-                codes_held += code[a:b].tolist()
-            if found:
-                yield batch_of(found)
-        if found := settled():
-            yield batch_of(found)
-
-    ddl = "slot int, value long, kind long, code long"
-    ordered = meetings.repartition("slot", "value").sortWithinPartitions("slot", "value", "kind")
+                if (key := (slot[a], value[a], low[a], high[a])) != current:
+                    yield from settled()
+                    current, held = key, []
+                held.append(batch.slice(a, b - a))
+        yield from settled()
+
+    ddl = "slot int, value long, low int, high int, block int, kind long, code long, code2 long"
+    ordered = each.repartition("slot", "value", "low", "high").sortWithinPartitions("slot", "value", "low", "high", "kind")
     close = stored(ordered.mapInArrow(close_ones, ddl), "vectors-close")
-    # A bucket of any size is cut into blocks, and every pair of blocks is a task of its own.
-    sizes = close.groupBy("slot", "value").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    placed = close.join(sizes, ["slot", "value"]).withColumn("block", F.pmod(F.xxhash64("kind"), "blocks").cast("int"))
-    each = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    paired = each.select(
-        "slot", "value", "kind", "code", "block", F.least("block", "other").alias("low"), F.greatest("block", "other").alias("high")
-    )
-    # Vectors join the buckets they are needed in, once for each.
-    full = paired.join(kinds.select("kind", "n", "v"), "kind")
+    # Vectors join the blocks they are needed in, once for each.
+    full = close.join(kinds.select("kind", "n", "v"), "kind")
 
     def rank(key: tuple, group: pd.DataFrame) -> pd.DataFrame:
         slot, low, high = int(key[0]), int(key[2]), int(key[3])
         group = group.sort_values("kind")
         vectors = np.array([np.asarray(v, float) for v in group["v"]])
         vectors /= np.linalg.norm(vectors, axis=1)[:, None]
-        code, kind, n = group["code"].to_numpy().view(np.uint64), group["kind"].to_numpy(), group["n"].to_numpy()
+        code, code2 = (group[c].to_numpy().view(np.uint64) for c in ("code", "code2"))
+        kind, n = group["kind"].to_numpy(), group["n"].to_numpy()
         block = group["block"].to_numpy()
         left, right = (np.flatnonzero(block == low), np.flatnonzero(block == high))
         counts = np.zeros(len(group), np.int64)
         parent, edges = {}, []
         for at in range(0, len(left), 512):
             some = left[at : at + 512]
-            differ = code[some][:, None] ^ code[right][None, :]
-            hit = (vectors[some] @ vectors[right].T >= threshold) & (first_meeting(differ, tables) == slot)
-            hit &= np.bitwise_count(differ) <= CODE_BITS_APART
+            hit = met_at(code[some, None] ^ code[None, right], code2[some, None] ^ code2[None, right], tables) == slot
+            hit &= vectors[some] @ vectors[right].T >= threshold
             if low == high:
                 hit &= some[:, None] < right[None, :]
             counts[some] += hit @ n[right]

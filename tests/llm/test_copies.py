@@ -150,6 +150,41 @@ def test_vectors_against_brute_force(spark, monkeypatch):
     assert got[907].component_id == 906 and got[906].n_links == 1
 
 
+def test_vectors_just_above_the_threshold_are_found(spark):
+    rng = np.random.default_rng(8)
+    rows = []
+    for k in range(1200):
+        x, other = rng.standard_normal((2, 64))
+        x /= np.linalg.norm(x)
+        other -= (other @ x) * x
+        cosine = (0.9001, 0.91, 0.93)[k % 3]
+        rows += [(2 * k, x.tolist()), (2 * k + 1, (cosine * x + np.sqrt(1 - cosine**2) * other / np.linalg.norm(other)).tolist())]
+    docs = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embeddings.near_vectors(docs).collect()}
+    for band in range(3):
+        assert np.mean([got[2 * k] for k in range(band, 1200, 3)]) >= 0.9
+
+
+def test_large_buckets_are_compared_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(embeddings, "BLOCK", 8)
+    arrays = np.random.default_rng(9)
+    x = np.vstack([arrays.standard_normal((1, 20)) + 0.1 * arrays.standard_normal((40, 20)), arrays.standard_normal((80, 20))])
+    rows = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
+    got = {r.vec_id: r.n_links for r in embeddings.near_vectors(rows).collect()}
+    unit = x / np.linalg.norm(x, axis=1)[:, None]
+    seen = (unit @ unit.T >= 0.9).sum(axis=1) - 1
+    assert sum(got.values()) >= 0.9 * seen.sum() and all(got[k] <= n for k, n in enumerate(seen))
+
+
+def test_codes_of_short_vectors_use_all_their_bits():
+    x = np.random.default_rng(1).standard_normal((500, 20))
+    mean, projections = embeddings.fit_codes(x / np.linalg.norm(x, axis=1)[:, None])
+    for p in projections:
+        code = embeddings.codes_of(x / np.linalg.norm(x, axis=1)[:, None], mean, p)
+        ones = np.unpackbits(code.view(np.uint8).reshape(-1, 8), axis=1).mean(axis=0)
+        assert ((ones > 0.2) & (ones < 0.8)).all()
+
+
 def test_no_vectors(spark):
     assert embeddings.near_vectors(vectors(spark, [])).count() == 0
     only = embeddings.near_vectors(vectors(spark, [(1, None, 0, "x", 1)])).collect()
