@@ -7,7 +7,8 @@ marks between letters are folded away first, and letters spelled out one by one
 are put together. A support vector machine over Nyström landmarks learns from
 the words of labelled documents. Landmark weights then collapse into one weight
 for each subsequence, which scores every word of every text by table look-ups.
-A document is as toxic as its worst word.
+A document is as toxic as its worst word; of a word beyond 32 symbols, overlapping
+windows of 32 count as words.
 """
 
 from __future__ import annotations
@@ -31,6 +32,8 @@ COST = 20.0
 EVIDENCE, PURITY = 20.0, 0.8
 
 SYMBOLS, BLANK, SPAN, DECAY, LONGEST = 64, 63, 5, 0.6, 32
+# Windows of a longer word begin so many symbols apart: one of them holds all of any 25 in a row.
+STRIDE = 8
 FOLDED = 0x3000
 GAPS = [(a, b) for a in range(1, SPAN - 1) for b in range(1, SPAN - a)]
 # Digits and signs that stand for letters: fixed values.
@@ -65,7 +68,7 @@ def _norms() -> np.ndarray:
 
 
 def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols of all texts, start and length of each window in them, text of each window)."""
+    """(symbols of all windows, start and length of each window in them, text of each window)."""
     points = np.frombuffer("\n".join(texts).encode("utf-32-le"), "<u4")
     symbols = _fold()[np.minimum(points, FOLDED - 1)]
     beyond = points >= FOLDED
@@ -84,11 +87,15 @@ def windows(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.nd
     spelled[1:] = (sizes[1:] == 1) & (sizes[:-1] == 1) & (owner[1:] == owner[:-1])
     starts, owner = starts[~spelled], owner[~spelled]
     sizes = np.diff(starts, append=len(word))
-    pieces = -(-sizes // LONGEST)
+    pieces = 1 + -(-np.maximum(sizes - LONGEST, 0) // STRIDE)
     if len(pieces) and pieces.max() > 1:
         offset = np.arange(pieces.sum()) - np.repeat(np.cumsum(pieces) - pieces, pieces)
-        starts, owner = np.repeat(starts, pieces) + LONGEST * offset, np.repeat(owner, pieces)
-        sizes = np.diff(starts, append=len(word))
+        # The last window of a word ends with it.
+        last = np.repeat(np.maximum(sizes - LONGEST, 0), pieces)
+        begin = np.repeat(starts, pieces) + np.minimum(STRIDE * offset, last)
+        owner, sizes = np.repeat(owner, pieces), np.repeat(np.minimum(sizes, LONGEST), pieces)
+        starts = np.cumsum(sizes) - sizes
+        symbols = symbols[np.arange(sizes.sum()) + np.repeat(begin - starts, sizes)]
     return symbols, starts, sizes, owner
 
 

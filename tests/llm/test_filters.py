@@ -209,6 +209,17 @@ def test_kernel_and_its_collapsed_form():
     assert np.allclose(worst, [max(values[0] @ alpha, values[4] @ alpha) - 1, -1, values[-2] @ alpha - 1], atol=1e-5)
 
 
+def test_place_in_a_long_word_does_not_matter():
+    symbols, starts, sizes, _ = toxicity.windows(["idiot complete"])
+    raw = symbols.tobytes()
+    kernel = toxicity.Kernel([raw[a : a + n] for a, n in zip(starts, sizes)])
+    table_ = kernel.collapsed(np.array([1.0, 1.0]))
+    for word in ("idiot", "complete.idiot", "c o m p l e t e_i-d-i-o-t"):
+        texts = ["x" * at + word.replace(" ", "_") + "x" * (120 - at) for at in range(121)]
+        worst = toxicity.worst_words(texts, table_, 0.0)
+        assert np.allclose(worst, worst[0]) and worst[0] > 0
+
+
 def test_long_texts_are_cut_between_words(monkeypatch):
     monkeypatch.setattr(toxicity, "SLICE", 50)
     text = "alpha beta gamma delta " * 20
