@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -106,6 +108,46 @@ def _stripped_field(value: Column, levels: int) -> Column:
     )
 
 
+JSON_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[{}\[\],:]|[^{}\[\],:"\s]+', re.DOTALL)
+
+
+def _stripped_text(text: str | None) -> str | None:
+    """What :func:`_stripped` makes of an object, on its JSON text and for any depth."""
+    if text is None:
+        return None
+    # Open objects as [key, fields]; lists are copied as they stand.
+    objects, key, listed, depth = [], None, [], 0
+    for token in JSON_TOKEN.findall(text):
+        if depth or token == "[":
+            listed.append(token)
+            depth += (token == "[") - (token == "]")
+            if depth:
+                continue
+            token, listed = "".join(listed), []
+        elif token == "{":
+            objects.append((key, []))
+            key = None
+            continue
+        elif token == "}":
+            key, fields = objects.pop()
+            token = "{" + ",".join(fields) + "}"
+            if not objects:
+                return token
+        elif token in ",:":
+            continue
+        elif key is None:
+            key = token
+            continue
+        elif token[0] in "-0123456789" and ("E" in token or token.endswith(".0")):
+            number = float(token)
+            token = str(int(number)) if abs(number) < 2.0**53 and number == int(number) else token
+        if token not in ("null", "{}"):
+            objects[-1][1].append(f"{key}:{token}")
+        key = None
+    return text
+
+
+# Deeper expressions than this are too much for a plan; such records are walked as text.
 REBUILT_LEVELS = 16
 
 
@@ -113,10 +155,9 @@ def canonical_record(value: Column, levels: int) -> Column:
     """Text that is equal exactly when two records have the same non-null fields.
 
     VARIANT keeps object keys sorted, so most records are canonical as they
-    are; only those holding nulls, empty objects or exponents are rebuilt, down
-    to ``REBUILT_LEVELS``; what nests deeper is compared as it stands.
+    are; only those holding nulls, empty objects or exponents are rebuilt, at any depth.
     """
     text = F.to_json(value)
     plain = ~(text.contains("null") | text.contains("{}") | text.rlike(r"\d(E|\.0[,}\]])"))
-    rebuilt = F.when(is_object(value), F.to_json(_stripped(value, min(levels, REBUILT_LEVELS))))
-    return F.when(plain, text).otherwise(F.coalesce(rebuilt, text))
+    deep = F.udf(_stripped_text, "string")(text) if levels > REBUILT_LEVELS else F.to_json(_stripped(value, levels))
+    return F.when(plain, text).otherwise(F.coalesce(F.when(is_object(value), deep), text))

@@ -5,7 +5,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.functions.jsontext import is_whole_json, nesting_depth
+from plumbline.functions.jsontext import canonical_record, is_whole_json, nesting_depth
 from plumbline.operators.records import (
     duplicate_records,
     field_metrics,
@@ -84,6 +84,21 @@ def test_very_deep_records_are_scored(spark):
     assert "excessive_nesting_depth" in found
 
 
+def test_deep_records_are_compared_whole(spark):
+    def deep(leaf):
+        for _ in range(19):
+            leaf = {"n": leaf}
+        return leaf
+
+    same = [{"k": 1}, {"k": 1, "a": None}, {"a": {"b": {}}, "k": 1}, {"k": 1e0}]
+    other = [{"k": 2}, {"k": 1, "a": [None, {}]}, {"k": 'x"{}:null,'}]
+    rows = [canonical_record(F.col("v"), levels).alias("r") for levels in (21, 5)]
+    records = variants(spark, *(deep(r) for r in same + other))
+    assert len({r.r for r in records.select(rows[0]).collect()}) == 4
+    shallow = variants(spark, *same, *other, {"k": 1e20, "s": "é\n"}, {"a": -2.5, "b": [1e0]}).select(*rows[:1], rows[1].alias("s"))
+    assert all(r.r == r.s for r in shallow.collect())
+
+
 def test_deep_records_are_whole(spark):
     deep = {"k": 1}
     for _ in range(14):
