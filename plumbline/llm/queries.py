@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.llm import contamination, embeddings, lines, mixing, planes, quality, simhash, tokens, toxicity, urls
-from plumbline.llm.shared import checkpoint_dir, table
+from plumbline.llm import contamination, embeddings, languages, lines, mixing, negatives, planes, quality, simhash, tokens, toxicity, urls, variants
+from plumbline.llm.shared import checkpoint_dir, crc_mod, table
 
 BYTE_BPE = "byte_bpe_50k.json"
 
@@ -75,6 +75,24 @@ def op10_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_copies(table(spark, sf_dir, "documents"))
 
 
+def op11_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = crc_mod(F.col("doc_id"), 4) == 2
+    found = languages.identify(documents, languages.train(documents, ~held_out))
+    return found.select("doc_id", held_out.alias("held_out"), F.col("lang").alias("lang_pred"), "score", "languages")
+
+
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = variants.variants(variants.spelled_words(table(spark, sf_dir, "documents")))
+    return found.select("word", "form", "root", "n", "n_near", "form_n")
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    relabelled = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    found = negatives.hard_negatives(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, relabelled)
+    return found.drop("positive_rank")
+
+
 QUERIES = {
     "op1_source_mix": op1_source_mix,
     "op2_token_counts": op2_token_counts,
@@ -86,6 +104,9 @@ QUERIES = {
     "op8_decontamination": op8_decontamination,
     "op9_token_planes": op9_token_planes,
     "op10_simhash": op10_simhash,
+    "op11_language_mixture": op11_language_mixture,
+    "op12_spelling_variants": op12_spelling_variants,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
 SQL: dict[str, str] = {
@@ -151,5 +172,64 @@ WITH texts AS (
 SELECT doc_id, item_id, n_shingles, count(*) AS n_found, count(*) / n_shingles AS containment
 FROM held JOIN items USING (width, shingle) JOIN sizes USING (item_id)
 GROUP BY doc_id, item_id, n_shingles HAVING count(*) >= ceil(round(0.8 * n_shingles, 9))
+""",
+    "op12_spelling_variants": r"""
+WITH RECURSIVE bits AS (
+  SELECT list_transform(range(256), lambda i: list_reduce(list_prepend(i, range(8)),
+         lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS t
+), runs AS (
+  SELECT doc_id, translate(unnest(regexp_extract_all(text, '[A-Za-z\x{C0}-\x{FF}]+')), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM documents
+), counted AS (
+  SELECT doc_id, run, count(*) AS n FROM runs WHERE length(run) >= 7 GROUP BY doc_id, run
+), hashed AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(hex(doc_id || ':' || run)) // 2 + 1),
+         lambda i: ('0x' || substr(hex(doc_id || ':' || run), 2 * i - 1, 2))::BIGINT)),
+         lambda c, b: xor(c >> 8, t[xor(c & 255, b) + 1])), 4294967295) AS h
+  FROM counted, bits
+), spelled AS (
+  SELECT CASE WHEN h % 31 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM hashed
+), words AS (
+  SELECT word, sum(n)::BIGINT AS n FROM spelled WHERE length(word) >= 7 GROUP BY word HAVING sum(n) >= 2
+), holes AS (
+  SELECT word, n, unnest(range(1, length(word) + 1)) AS pos FROM words
+), cut AS (
+  SELECT word, n, pos, substr(word, 1, pos - 1) AS head, substr(word, pos + 1) AS tail FROM holes
+), near AS (
+  SELECT a.word, a.n, b.word AS near, b.n AS near_n FROM cut a JOIN cut b ON a.pos = b.pos AND a.head = b.head AND a.tail = b.tail AND a.word <> b.word
+  UNION SELECT a.word, a.n, w.word, w.n FROM cut a JOIN words w ON a.head || a.tail = w.word
+  UNION SELECT w.word, w.n, a.word, a.n FROM cut a JOIN words w ON a.head || a.tail = w.word
+), best AS (
+  SELECT word, count(*) AS n_near, max(near_n) AS most FROM near GROUP BY word
+), forms AS (
+  SELECT n.word, min(n.near) AS form, any_value(n.near_n) AS form_n FROM near n JOIN best b ON n.word = b.word AND n.near_n = b.most
+  WHERE n.near_n >= 10 * n.n GROUP BY n.word
+), chain AS (
+  SELECT word, form AS root, 1 AS steps FROM forms
+  UNION ALL SELECT c.word, f.form, c.steps + 1 FROM chain c JOIN forms f ON c.root = f.word
+), roots AS (
+  SELECT word, arg_max(root, steps) AS root FROM chain GROUP BY word
+)
+SELECT w.word, f.form, coalesce(r.root, w.word) AS root, w.n, coalesce(b.n_near, 0) AS n_near, f.form_n
+FROM words w LEFT JOIN best b USING (word) LEFT JOIN forms f USING (word) LEFT JOIN roots r USING (word)
+""",
+    "op13_hard_negatives": r"""
+WITH kept AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v
+  FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), scored AS (
+  SELECT a.vec_id AS anchor_id, b.vec_id, a.label = b.label AS same, list_inner_product(a.v, b.v)::BIGINT AS score
+  FROM kept a JOIN kept b ON a.vec_id <> b.vec_id WHERE a.vec_id % 50 = 0
+), positives AS (
+  SELECT anchor_id, vec_id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id)::INTEGER AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM positives p JOIN scored s ON p.anchor_id = s.anchor_id AND NOT s.same
+WHERE 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3
 """,
 }
