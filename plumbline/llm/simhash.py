@@ -14,7 +14,6 @@ pair are counted, those with six or more verified by the bits that differ.
 from __future__ import annotations
 
 from collections.abc import Iterator
-from hashlib import blake2b
 from itertools import combinations
 
 import numpy as np
@@ -26,17 +25,8 @@ from plumbline.llm.components import components
 from plumbline.llm.shared import stored
 
 BYTES = 8
-# The wide fingerprints of :func:`one_of_each`: 256 bits. Texts that share 0.8 of
-# their shingles differ in 39 of them, give or take 6, unrelated ones in about 128.
-# Pairs within ``WIDE_APART`` are compared shingle by shingle; those within
-# ``WIDE_TIGHT`` are hardly ever below 0.8 and are tried first.
-LANES, WIDE_APART, WIDE_TIGHT = 4, 64, 26
-# Its index is keyed by so many choices of three of the 32 bytes.
-WIDE_SLOTS, WIDE_KEY_BYTES = 256, 3
-# Members of a posting that one task compares with as many others.
-BLOCK = 2_048
-# Texts that one task compares with the same text.
-VERIFIED_AT_ONCE = 256
+# The wide fingerprints of :func:`wide_fingerprint`: 256 bits.
+LANES = 4
 SHINGLES_AT_ONCE = 65_536
 
 
@@ -87,7 +77,7 @@ def _posting_keys(fp: Column, differing: int) -> Column:
     return F.array(*keys)
 
 
-def _spanning(n: int, near, group: np.ndarray | None = None) -> list[tuple[int, int]]:
+def spanning(n: int, near, group: np.ndarray | None = None) -> list[tuple[int, int]]:
     """Edges that connect what is linked among ``n`` rows: a tree, not every pair.
 
     ``near(at)`` says which of the rows from ``at`` on (columns) are near the next 256 (rows).
@@ -116,7 +106,7 @@ def _links_within(values: np.ndarray, differing: int) -> list[tuple[int, int]]:
         shared = (differ.view(np.uint8).reshape(*differ.shape, BYTES) == 0).sum(axis=2)
         return (shared >= BYTES - differing) & (np.bitwise_count(differ) <= differing)
 
-    return _spanning(len(values), near)
+    return spanning(len(values), near)
 
 
 def linked(distinct: DataFrame, differing: int = 2) -> DataFrame:
@@ -213,224 +203,3 @@ def wide_fingerprint(hashes: np.ndarray, lanes: int = LANES) -> bytes:
             ones += np.unpackbits(some.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
         parts.append(np.packbits(ones * 2 > len(hashes), bitorder="little").tobytes())
     return b"".join(parts)
-
-
-def _runs(slot: np.ndarray, value: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Begin and end of each run of equal (slot, value)."""
-    starts = np.concatenate([[0], np.flatnonzero((slot[1:] != slot[:-1]) | (value[1:] != value[:-1])) + 1])
-    return starts, np.append(starts[1:], len(slot))
-
-
-def _met(kinds: DataFrame, slots: int, key_bytes: int) -> DataFrame:
-    """(posting, kind, block, blocks) of every posting in which two or more fingerprints meet."""
-    rng = np.random.default_rng(17)
-    positions = np.array([rng.choice(8 * LANES, key_bytes, replace=False) for _ in range(slots)])
-
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            fps = np.frombuffer(b"".join(batch.column(1).to_pylist()), np.uint8).reshape(batch.num_rows, -1)
-            value = np.zeros((batch.num_rows, slots), np.int64)
-            for k in range(key_bytes):
-                value = value << 8 | fps[:, positions[:, k]]
-            # The slot in the upper bytes: one number is one posting.
-            value |= np.arange(slots, dtype=np.int64) << 8 * key_bytes
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(value.reshape(-1)), pa.array(np.repeat(batch.column(0).to_numpy(), slots))], names=["posting", "kind"]
-            )
-
-    def shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        """Postings of two or more, passed on as they come."""
-        last, held = None, None
-        for batch in batches:
-            posting, kind = batch.column(0).to_numpy(), batch.column(1).to_numpy()
-            if not len(posting):
-                continue
-            same = posting[1:] == posting[:-1]
-            many = np.concatenate([[posting[0] == last], same]) | np.concatenate([same, [False]])
-            # The last row of a batch waits until the next shows whether it has company.
-            waited = posting[0] == last and held is not None
-            first = np.array([held] if waited else [], np.int64)
-            last, held = posting[-1], None if many[-1] else int(kind[-1])
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.concatenate([posting[: len(first)], posting[many]])), pa.array(np.concatenate([first, kind[many]]))],
-                names=["posting", "kind"],
-            )
-
-    postings = kinds.select("kind", "fp").mapInArrow(spread, "posting long, kind long")
-    met = stored(
-        postings.repartition("posting").sortWithinPartitions("posting", "kind").mapInArrow(shared, "posting long, kind long"), "simhash-met"
-    )
-    sizes = met.groupBy("posting").agg(F.ceil(F.count("*") / F.lit(BLOCK)).cast("int").alias("blocks"))
-    return met.join(sizes, "posting").withColumn("block", F.pmod(F.xxhash64("kind"), "blocks").cast("int"))
-
-
-def _candidates(placed: DataFrame, kinds: DataFrame, every: bool) -> DataFrame:
-    """(a, b) pairs of kinds within ``WIDE_APART`` bits that stand in one posting and different groups.
-
-    ``kinds`` has kind, fp and group. Without ``every``, a tree of them for each posting.
-    """
-    # A posting of any size is cut into blocks, and every pair of blocks is compared on its own.
-    each = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
-    paired = each.select("posting", (F.least("block", "other") * 65536 + F.greatest("block", "other")).alias("pair"), "kind")
-    full = paired.join(kinds.select("kind", "fp", "group"), "kind")
-
-    def near(values: np.ndarray, limit: int) -> np.ndarray:
-        return np.bitwise_count(values).sum(axis=-1) <= limit
-
-    def batch_of(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [pa.array(np.minimum(a, b).astype(np.int64)), pa.array(np.maximum(a, b).astype(np.int64))], names=["a", "b"]
-        )
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        current, kinds_held, fps_held, groups_held = None, [], [], []
-
-        def close() -> Iterator[pa.RecordBatch]:
-            n = len(kinds_held)
-            # What stands alone in a posting with one other has been compared with it by the tree.
-            if n < 2 + every:
-                return
-            kind, fps = np.array(kinds_held, np.int64), np.frombuffer(b"".join(fps_held), "<u8").reshape(n, -1)
-            _, group = np.unique(np.array(groups_held, np.int64), return_inverse=True)
-            if every:
-                for at in range(0, n, 256):
-                    hit = near(fps[at : at + 256, None] ^ fps[None, at:], WIDE_APART) & (group[at : at + 256, None] != group[None, at:])
-                    a, b = np.nonzero(hit & (np.arange(n - at)[None, :] > np.arange(len(hit))[:, None]))
-                    if len(a):
-                        yield batch_of(kind[a + at], kind[b + at])
-                return
-            edges = _spanning(n, lambda at: near(fps[at : at + 256, None] ^ fps[None, at:], WIDE_TIGHT), group)
-            edges += _spanning(n, lambda at: near(fps[at : at + 256, None] ^ fps[None, at:], WIDE_APART), group)
-            if edges:
-                yield batch_of(*kind[np.array(edges)].T)
-
-        for batch in batches:
-            if not batch.num_rows:
-                continue
-            posting, pair, kind, _, grouped = (batch.column(k).to_numpy(zero_copy_only=False) if k != 3 else None for k in range(5))
-            raw = batch.column(3).to_pylist()
-            fps = np.frombuffer(b"".join(raw), "<u8").reshape(len(raw), -1)
-            starts, ends = _runs(posting, pair)
-            inner = np.ones(len(starts), bool)
-            inner[:1] = inner[-1:] = False
-            # Postings of two in the middle of a batch, all at once.
-            twos = starts[inner & (ends - starts == 2)]
-            if len(twos) and not every:
-                twos = twos[near(fps[twos] ^ fps[twos + 1], WIDE_APART) & (grouped[twos] != grouped[twos + 1])]
-                yield batch_of(kind[twos], kind[twos + 1])
-            for k in np.flatnonzero(~inner | (ends - starts > 2)).tolist():
-                a, b = int(starts[k]), int(ends[k])
-                if (posting[a], pair[a]) != current:
-                    yield from close()
-                    current, kinds_held, fps_held, groups_held = (posting[a], pair[a]), [], [], []
-                kinds_held += kind[a:b].tolist()
-                fps_held += raw[a:b]
-                groups_held += grouped[a:b].tolist()
-        yield from close()
-
-    ordered = full.select("posting", "pair", "kind", "fp", "group").repartition("posting", "pair")
-    return ordered.sortWithinPartitions("posting", "pair", "kind").mapInArrow(compare, "a long, b long").distinct()
-
-
-def _verified(pairs: DataFrame, kinds: DataFrame, documents: DataFrame, size: int, share: float) -> DataFrame:
-    """The ``pairs`` of kinds whose texts have ``share`` or more of their different shingles in common.
-
-    ``documents`` has doc_id, text and print, a hash of the text.
-    """
-    needed = pairs.select(F.explode(F.array("a", "b")).alias("kind")).distinct()
-    needed = needed.join(kinds.select("kind", "least", "print"), "kind").withColumnRenamed("least", "doc_id")
-    texts = documents.join(needed, ["doc_id", "print"]).groupBy("kind").agg(F.first("text").alias("text"))
-    texts = stored(texts, "simhash-texts")
-    # A text with many partners is compared with some at a time, and sent once to each of those tasks.
-    many = pairs.groupBy("a").agg(F.ceil(F.count("*") / F.lit(VERIFIED_AT_ONCE)).cast("int").alias("parts"))
-    dealt = stored(pairs.join(many, "a").select("a", "b", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part")), "simhash-pairs")
-    first = many.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"))
-    first = first.join(texts, F.col("a") == F.col("kind")).select("a", "part", F.lit(False).alias("other"), F.col("a").alias("b"), "text")
-    others = dealt.join(texts, F.col("b") == F.col("kind")).select("a", "part", F.lit(True).alias("other"), "b", "text")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        mine = np.zeros(0, np.uint64)
-        for batch in batches:
-            found = []
-            for a, other, b, text in zip(*(batch.column(k).to_pylist() for k in (0, 2, 3, 4)), strict=True):
-                hashes = shingle_hashes((text or "").encode("utf-8"), size)
-                if not other:
-                    mine = hashes
-                    continue
-                both = len(np.intersect1d(mine, hashes, assume_unique=True))
-                if both and both >= round(share * (len(mine) + len(hashes) - both), 9):
-                    found.append((a, b))
-            yield pa.RecordBatch.from_arrays([pa.array([f[k] for f in found], pa.int64()) for k in (0, 1)], names=["a", "b"])
-
-    ordered = first.union(others).repartition("a", "part").sortWithinPartitions("a", "part", "other")
-    return ordered.mapInArrow(compare, "a long, b long")
-
-
-def one_of_each(
-    documents: DataFrame,
-    size: int = 5,
-    share: float = 0.8,
-    slots: int = WIDE_SLOTS,
-    key_bytes: int = WIDE_KEY_BYTES,
-    doc_id: str = "doc_id",
-    text: str = "text",
-) -> DataFrame:
-    """The rows of ``documents`` without near copies: of each group the smallest id stays.
-
-    Near copies have ``share`` or more of their different ``size``-word shingles in
-    common, counted exactly. 256-bit SimHashes propose the pairs, those within
-    ``WIDE_APART`` bits that agree in one of 256 choices of three bytes: README
-    has the part of pairs they find. A tree of each posting is verified first, then every
-    pair that it left in different groups. Texts without words are one
-    group. Rows of one id stay or go together, equal texts among them once; rows
-    without an id are not judged and stay. An empty table gives no rows; all
-    columns are kept.
-    """
-
-    def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            values, sets = [], []
-            for t in batch.column(1).to_pylist():
-                hashes = shingle_hashes((t or "").encode("utf-8"), size)
-                values.append(wide_fingerprint(hashes))
-                sets.append(blake2b(hashes.tobytes(), digest_size=16).digest())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(values, pa.binary()), pa.array(sets, pa.binary())],
-                names=["doc_id", "print", "fp", "shingles"],
-            )
-
-    named = documents.select(F.col(f"`{doc_id}`").cast("long").alias("doc_id"), F.col(f"`{text}`").cast("string").alias("text"))
-    named = named.where("doc_id is not null").withColumn("print", F.xxhash64("text"))
-    rows = stored(named.mapInArrow(prints, "doc_id long, print long, fp binary, shingles binary"), "simhash-wide")
-    # Texts of the same shingles are one kind from the start.
-    kinds = rows.groupBy("shingles", "fp").agg(F.min(F.struct("doc_id", "print")).alias("who"))
-    kinds = kinds.select("fp", F.col("who.doc_id").alias("least"), F.col("who.print").alias("print"))
-    kinds = stored(kinds.withColumn("kind", F.monotonically_increasing_id()), "simhash-kinds")
-    placed = stored(_met(kinds, slots, key_bytes), "simhash-placed")
-    tried = stored(_candidates(placed, kinds.withColumn("group", F.col("kind")), every=False), "simhash-tried")
-    good = stored(_verified(tried, kinds, named, size, share), "simhash-good")
-    grouped = components(good, "simhash-wide").withColumnRenamed("node", "kind")
-    grouped = stored(
-        kinds.select("kind", "fp").join(grouped, "kind", "left").select("kind", "fp", F.coalesce("component", "kind").alias("group")), "simhash-groups"
-    )
-    # Where a proposed pair failed, any other pair of the two sides may hold.
-    parted = placed.join(grouped.select("kind", "group"), "kind").groupBy("posting")
-    parted = parted.agg(F.count("*").alias("n"), F.min("group").alias("low"), F.max("group").alias("high")).where("n > 2 and low <> high")
-    left = _candidates(placed.join(parted.select("posting"), "posting", "left_semi"), grouped, every=True)
-    left = stored(left.join(tried, ["a", "b"], "left_anti"), "simhash-left")
-    if not left.isEmpty():
-        good = good.union(_verified(left, kinds, named, size, share))
-    reached = components(good, "simhash-wide")
-    members = kinds.join(reached, F.col("kind") == F.col("node"), "left").select(
-        "least", F.coalesce("component", "kind").alias("component")
-    )
-    winners = members.groupBy("component").agg(F.min("least").alias("_winner")).select("_winner").distinct()
-    counts = rows.groupBy("doc_id").agg((F.count("*") > 1).alias("_several"))
-    staying = winners.join(counts, F.col("_winner") == F.col("doc_id")).select("_winner", "_several")
-    kept = documents.where(F.col(f"`{doc_id}`").isNotNull()).join(staying, F.col(f"`{doc_id}`").cast("long") == F.col("_winner"))
-    columns = [F.col(f"`{c}`") for c in documents.columns]
-    single = kept.where(~F.col("_several")).select(columns)
-    several = kept.where("_several").dropDuplicates([doc_id, text]).select(columns)
-    return single.union(several).union(documents.where(F.col(f"`{doc_id}`").isNull()).select(columns))

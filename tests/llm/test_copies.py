@@ -72,50 +72,6 @@ def test_index_finds_every_pair_within_two_bits(spark):
     assert got == want
 
 
-def test_one_of_each_group_of_near_copies_stays(make_docs, monkeypatch):
-    monkeypatch.setattr(simhash, "BLOCK", 8)
-    rng = random.Random(1)
-    rows, seeds = [], [[f"{s}v{rng.randrange(5000)}" for _ in range(300)] for s in range(30)]
-    for s, words in enumerate(seeds):
-        for c in range(s % 5 * 5 + 1):
-            changed = list(words)
-            for at in rng.sample(range(300), 2 * (c > 0)):
-                changed[at] = f"n{rng.randrange(10**6)}"
-            rows.append((1000 * s + c, " ".join(changed)))
-    rows += [(50_000, None), (50_001, ""), (None, rows[0][1]), (None, None), (0, rows[0][1]), (60_000, "short text")]
-    docs = make_docs(rows)
-    kept = simhash.one_of_each(docs)
-    assert kept.columns == docs.columns
-    got = sorted((r.doc_id is None, r.doc_id or 0) for r in kept.collect())
-    assert got == sorted([(False, 1000 * s) for s in range(30)] + [(False, 50_000), (False, 60_000), (True, 0), (True, 0)])
-    assert simhash.one_of_each(make_docs([])).count() == 0
-
-
-def test_near_copies_are_those_that_share_their_shingles(make_docs):
-    rng = random.Random(3)
-
-    def changed(words, places):
-        return [f"n{rng.randrange(10**9)}" if k in places else w for k, w in enumerate(words)]
-
-    # Each change takes five of 296 shingles: six leave 0.816 in common, seven 0.788.
-    near, far, aside = [], [], []
-    for k in range(60):
-        words = [f"k{k}w{rng.randrange(10**6)}" for _ in range(300)]
-        near += [(10 * k, " ".join(words)), (10 * k + 1, " ".join(changed(words, range(10, 280, 50))))]
-    for k in range(100, 160):
-        words = [f"k{k}w{rng.randrange(10**6)}" for _ in range(300)]
-        far += [(10 * k, " ".join(words)), (10 * k + 1, " ".join(changed(words, range(10, 280, 40))))]
-    # The first two are apart, the third is a near copy of the second only.
-    for k in range(200, 260):
-        words = [f"k{k}w{rng.randrange(10**6)}" for _ in range(300)]
-        second = changed(words, range(10, 280, 40))
-        aside += [(10 * k, " ".join(words)), (10 * k + 1, " ".join(second)), (10 * k + 2, " ".join(changed(second, range(30, 280, 50))))]
-    kept = {r.doc_id for r in simhash.one_of_each(make_docs(near + far + aside)).select("doc_id").collect()}
-    assert {i for i, _ in far} <= kept
-    assert sum(i in kept for i, _ in near) <= 75 and {i for i, _ in near if i % 10 == 0} <= kept
-    assert {i for i, _ in aside if i % 10 < 2} <= kept and sum(i % 10 == 2 for i, _ in aside if i in kept) <= 15
-
-
 def vectors(spark, rows):
     return spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int, key string, n long").repartition(3)
 

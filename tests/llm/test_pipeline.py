@@ -1,5 +1,5 @@
 import corpus_pipeline
-from plumbline.llm import contamination, quality, simhash
+from plumbline.llm import contamination, quality, similar
 from plumbline.llm.shared import stored, table
 
 SF = "/root/testdata/sf0.01"
@@ -18,7 +18,7 @@ def test_stages_take_effect_and_keep_the_columns(spark):
             scores = quality.score(docs, quality.train(docs, labels)).collect()
             assert set(ids) == {r.doc_id for r in scores if r.predicted == 1} and len(ids) < len(before)
         if name == "near_copies":
-            assert simhash.one_of_each(after).count() == len(ids) < len(before)
+            assert similar.one_of_each(after).count() == len(ids) < len(before)
         if name == "decontamination":
             found = contamination.found_items(docs, table(spark, SF, "benchmark")).collect()
             assert set(ids) == set(before) - {r.doc_id for r in found} and found
