@@ -27,8 +27,6 @@ from plumbline.llm.shared import stored
 SLOTS, MODEL_CELLS = 1 << 16, 1 << 22
 # A label column with more values than this is no list of languages.
 MOST_LANGUAGES = 1 << 12
-# Each trigram of each language is counted this much too often.
-SMOOTHING = 0.1
 # Log-likelihood a further language must bring, in units of the logarithm of the number of trigrams.
 PENALTY = 3.0
 ROUNDS = 30
@@ -138,10 +136,12 @@ def train(documents: DataFrame, where: Column | None = None, text: str = "text",
     seen = counted.toPandas()
     counts = np.zeros((slots, len(names)))
     counts[seen["slot"].to_numpy(np.int64), seen["number"].to_numpy(np.int64)] = seen["n"].to_numpy(np.float64)
-    counts += SMOOTHING
-    taught = counts.sum(axis=0) > SMOOTHING * slots * 1.5
+    taught = counts.any(axis=0)
     names, counts = tuple(name for name, k in zip(names, taught, strict=True) if k), counts[:, taught]
-    return Languages(names, counts / counts.sum(axis=0))
+    # What was not met weighs as much as there were different trigrams (Witten and Bell, 1991), so a
+    # language of a few sentences keeps most of its weight on what it was taught.
+    unmet = (counts > 0).sum(axis=0)
+    return Languages(names, (counts + unmet / slots) / (counts.sum(axis=0) + unmet))
 
 
 def _fitted(p: np.ndarray, n: np.ndarray, starts: np.ndarray, owner: np.ndarray, active: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
