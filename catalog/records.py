@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.shared import table
+from catalog.shared import spread, table
 from plumbline.config import DIMENSIONS
 from plumbline.functions.jsontext import is_whole_json, nesting_depth, parse_whole_json
 from plumbline.operators.records import (
@@ -41,7 +41,8 @@ ORDER_JSON_SQL = ORDER_JSON.replace("{text}", "VARCHAR")
 
 
 def order_records(spark, sf_dir):
-    texts = table(spark, sf_dir, "orders").select(F.expr(ORDER_JSON_SPARK).alias("text"))
+    columns = ("o_custkey", "o_orderstatus", "o_orderpriority", "o_orderdate", "o_totalprice")
+    texts = spread(table(spark, sf_dir, "orders").select(*columns)).select(F.expr(ORDER_JSON_SPARK).alias("text"))
     return texts.select(F.parse_json("text").alias("v"))
 
 

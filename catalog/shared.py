@@ -15,6 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """The rows in partitions of even size, as many as the planner finds fit.
+
+    A file of a few large row groups is read by as many tasks. What computes long on
+    each row is worth a shuffle of the columns that it needs; select those first.
+    """
+    return df.hint("rebalance")
+
+
 # Valid in Spark and in DuckDB alike.
 DIRTY_ORDERS_SELECT = """
 SELECT

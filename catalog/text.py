@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from catalog.shared import table
+from catalog.shared import spread, table
 from plumbline.config import DIMENSIONS, TextRules
 from plumbline.functions import text as tx
 from plumbline.functions.entities import ENTITY_PATTERNS
@@ -41,7 +41,12 @@ FROM {documents}
 
 def dirty_documents(spark, sf_dir):
     select = DIRTY_DOCUMENTS_SQL.replace("chr(65533)", "'" + tx.REPLACEMENT + "'")
-    return spark.sql(select, documents=table(spark, sf_dir, "documents"))
+    columns = ("doc_id", "lang", "text", "source")
+    return spark.sql(select, documents=spread(table(spark, sf_dir, "documents").select(*columns)))
+
+
+def _documents(spark, sf_dir, *columns):
+    return spread(table(spark, sf_dir, "documents").select("doc_id", "text", *columns))
 
 
 NUMBERS = (
@@ -56,12 +61,12 @@ def features_documents(spark, sf_dir):
 
 
 def language_documents(spark, sf_dir):
-    features = text_features(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    features = text_features(_documents(spark, sf_dir))
     return features.select("doc_id", "language", "language_confidence")
 
 
 def entities_documents(spark, sf_dir):
-    features = text_features(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    features = text_features(_documents(spark, sf_dir))
     return features.select("doc_id", F.explode("entities").alias("label", "n")).withColumn("n", F.col("n").cast("bigint"))
 
 
@@ -71,11 +76,11 @@ def entities_pages(spark, sf_dir):
 
 
 def trained_profiles(spark, sf_dir):
-    return language_profiles(table(spark, sf_dir, "documents"))
+    return language_profiles(_documents(spark, sf_dir, "lang"))
 
 
 def trained_language(spark, sf_dir):
-    docs = table(spark, sf_dir, "documents")
+    docs = _documents(spark, sf_dir, "lang")
     return identify_language(docs, language_profiles(docs)).select("doc_id", "language", "confidence", "score")
 
 
@@ -88,16 +93,16 @@ def _vocabulary(spark, sf_dir):
 
 
 def dictionary_documents(spark, sf_dir):
-    return dictionary_entities(table(spark, sf_dir, "documents"), _vocabulary(spark, sf_dir))
+    return dictionary_entities(_documents(spark, sf_dir), _vocabulary(spark, sf_dir))
 
 
 def dictionary_maps(spark, sf_dir):
-    maps = entity_maps(dictionary_entities(table(spark, sf_dir, "documents"), _vocabulary(spark, sf_dir)))
+    maps = entity_maps(dictionary_entities(_documents(spark, sf_dir), _vocabulary(spark, sf_dir)))
     return maps.select("doc_id", F.to_json("entities").alias("entities"))
 
 
 def likely_duplicates(spark, sf_dir):
-    features = text_features(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    features = text_features(_documents(spark, sf_dir))
     return with_likely_duplicates(features, "doc_id").select("doc_id", "char_count", "word_count", "duplicate_count")
 
 
