@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -23,9 +21,18 @@ def skeleton(text: Column) -> Column:
     return F.regexp_replace(unescaped, r'"[^"]*"', "s")
 
 
+def brackets(text: Column) -> Column:
+    """The brackets of JSON text in order; a few different ones whatever the number of records."""
+    return F.regexp_replace(skeleton(text), r"[^\[\]{}]+", "")
+
+
 def bracket_walk(text: Column) -> Column:
     """``struct(depth, deepest, closings)``: level after, deepest level, returns to level zero."""
-    brackets = F.regexp_replace(skeleton(text), r"[^\[\]{}]+", "")
+    return folded(brackets(text))
+
+
+def folded(brackets: Column) -> Column:
+    """:func:`bracket_walk` of brackets alone."""
     start = F.struct(F.lit(0).alias("depth"), F.lit(0).alias("deepest"), F.lit(0).alias("closings"))
 
     def step(state: Column, char: Column) -> Column:
@@ -83,81 +90,8 @@ def type_name(schema: Column) -> Column:
     )
 
 
-def _stripped(value: Column, levels: int) -> Column:
-    """The value without null fields and empty objects, whole doubles as integers."""
-    if levels == 0:
-        return value
-    fields = F.transform_values(
-        value.cast("map<string,variant>"), lambda _, child: _stripped_field(child, levels - 1)
-    )
-    # Emptiness is tested on the finished child, so each level is built once.
-    kept = F.map_filter(
-        fields, lambda _, child: child.isNotNull() & (F.schema_of_variant(child) != "OBJECT<>")
-    )
-    return F.to_variant_object(kept)
-
-
-def _stripped_field(value: Column, levels: int) -> Column:
+def leaf_text(value: Column, schema: Column) -> Column:
+    """JSON text of a value that is no object, the same for a whole double as for the integer it equals."""
     number = F.try_variant_get(value, "$", "double")
-    whole = (number == F.floor(number)) & (F.abs(number) < 2.0**53)
-    return (
-        F.when(F.is_variant_null(value), F.lit(None))
-        .when(is_object(value), _stripped(value, levels))
-        .when((F.schema_of_variant(value) == "DOUBLE") & whole, number.cast("bigint").cast("variant"))
-        .otherwise(value)
-    )
-
-
-JSON_TOKEN = re.compile(r'"(?:[^"\\]|\\.)*"|[{}\[\],:]|[^{}\[\],:"\s]+', re.DOTALL)
-
-
-def _stripped_text(text: str | None) -> str | None:
-    """What :func:`_stripped` makes of an object, on its JSON text and for any depth."""
-    if text is None:
-        return None
-    # Open objects as [key, fields]; lists are copied as they stand.
-    objects, key, listed, depth = [], None, [], 0
-    for token in JSON_TOKEN.findall(text):
-        if depth or token == "[":
-            listed.append(token)
-            depth += (token == "[") - (token == "]")
-            if depth:
-                continue
-            token, listed = "".join(listed), []
-        elif token == "{":
-            objects.append((key, []))
-            key = None
-            continue
-        elif token == "}":
-            key, fields = objects.pop()
-            token = "{" + ",".join(fields) + "}"
-            if not objects:
-                return token
-        elif token in ",:":
-            continue
-        elif key is None:
-            key = token
-            continue
-        elif token[0] in "-0123456789" and ("E" in token or token.endswith(".0")):
-            number = float(token)
-            token = str(int(number)) if abs(number) < 2.0**53 and number == int(number) else token
-        if token not in ("null", "{}"):
-            objects[-1][1].append(f"{key}:{token}")
-        key = None
-    return text
-
-
-# Deeper expressions than this are too much for a plan; such records are walked as text.
-REBUILT_LEVELS = 16
-
-
-def canonical_record(value: Column, levels: int) -> Column:
-    """Text that is equal exactly when two records have the same non-null fields.
-
-    VARIANT keeps object keys sorted, so most records are canonical as they
-    are; only those holding nulls, empty objects or exponents are rebuilt, at any depth.
-    """
-    text = F.to_json(value)
-    plain = ~(text.contains("null") | text.contains("{}") | text.rlike(r"\d(E|\.0[,}\]])"))
-    deep = F.udf(_stripped_text, "string")(text) if levels > REBUILT_LEVELS else F.to_json(_stripped(value, levels))
-    return F.when(plain, text).otherwise(F.coalesce(F.when(is_object(value), deep), text))
+    whole = (schema == "DOUBLE") & (number == F.floor(number)) & (F.abs(number) < 2.0**53)
+    return F.when(whole, number.cast("bigint").cast("string")).otherwise(F.to_json(value))

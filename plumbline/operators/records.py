@@ -20,8 +20,9 @@ from plumbline.functions import names
 from plumbline.functions.dates import parse_datetime
 from plumbline.functions.jsontext import (
     EMAIL_PATTERN,
-    canonical_record,
-    nesting_depth,
+    brackets,
+    folded,
+    leaf_text,
     type_name,
 )
 from plumbline.operators.columns import group_value, nullable_value
@@ -33,9 +34,10 @@ STAGE_LEVELS = 16
 
 
 def max_nesting_depth(records: DataFrame) -> DataFrame:
-    """One row ``max_nesting_depth``, read off the brackets of the JSON text."""
-    depth = nesting_depth(F.to_json("v"))
-    return records.agg(F.coalesce(F.max(depth), F.lit(0)).cast("bigint").alias("max_nesting_depth"))
+    """One row ``max_nesting_depth``, read off the brackets of the JSON text, each different sequence once."""
+    shapes = records.select(brackets(F.to_json("v")).alias("shape")).distinct()
+    depth = folded(F.col("shape"))["deepest"]
+    return shapes.agg(F.coalesce(F.max(depth), F.lit(0)).cast("bigint").alias("max_nesting_depth"))
 
 
 def measured_levels(records: DataFrame) -> int:
@@ -52,31 +54,46 @@ def flatten_records(records: DataFrame, levels: int | None = None) -> DataFrame:
     rather than going missing. A plan holds ``STAGE_LEVELS`` levels; nodes that
     lie deeper are settled and walked on, so one deep record costs small jobs.
     """
+    walked = _walked(records, levels)
+    leaf = "path IS NOT NULL AND NOT (node IS NOT NULL AND startswith(shape, 'OBJECT'))"
+    return walked.where(leaf).select(*[names.quoted(c) for c in records.columns if c != "v"], "path", "node", "shape")
+
+
+def _walked(records: DataFrame, levels: int | None = None, trails: bool = False) -> DataFrame:
+    """All ends of the walk ``(…, path, node, shape)``: leaves, empty objects, and records that are no object.
+
+    With ``trails`` a hash of the keys on the way, one by one, stands in ``trail``; dots in
+    keys do not count there. Every record comes up at least once.
+    """
     if levels is None:
         levels = measured_levels(records)
     spark = records.sparkSession
     others = [c for c in records.columns if c != "v"]
+    begun = ["CAST(NULL AS BIGINT) AS trail"] if trails else []
+    followed = ["CASE WHEN key IS NOT NULL THEN xxhash64(trail, key) ELSE trail END AS trail"] if trails else []
     # The type of a node is read once, when the node comes up; a leaf only
     # passes through the levels below it.
     nodes = records.selectExpr(
-        *[f"`{c}`" for c in others], "CAST(NULL AS STRING) AS path", "v AS node", "schema_of_variant(v) AS shape"
+        *[f"`{c}`" for c in others], *begun, "CAST(NULL AS STRING) AS path", "v AS node", "schema_of_variant(v) AS shape"
     )
     left, parts = max(levels, 1), []
     while True:
         for _ in range(min(left, STAGE_LEVELS)):
             opened = nodes.withColumn("open", F.expr("CASE WHEN startswith(shape, 'OBJECT') THEN node END"))
             children = opened.lateralJoin(spark.tvf.variant_explode_outer(F.col("open").outer()))
-            nodes = children.where("open IS NULL OR key IS NOT NULL").selectExpr(
+            # An empty object that opens gives one row without a key: it ends there.
+            nodes = children.selectExpr(
                 *[f"`{c}`" for c in others],
-                "CASE WHEN open IS NOT NULL THEN concat_ws('.', path, key) ELSE path END AS path",
-                "CASE WHEN open IS NOT NULL THEN value ELSE node END AS node",
-                "CASE WHEN open IS NOT NULL THEN schema_of_variant(value) ELSE shape END AS shape",
+                *followed,
+                "CASE WHEN key IS NOT NULL THEN concat_ws('.', path, key) ELSE path END AS path",
+                "CASE WHEN key IS NOT NULL THEN value ELSE node END AS node",
+                "CASE WHEN key IS NOT NULL THEN schema_of_variant(value) ELSE shape END AS shape",
             )
         left -= STAGE_LEVELS
         if left <= 0:
             break
         # The few nodes that still open go on in a plan of their own.
-        is_open = F.expr("node IS NOT NULL AND coalesce(startswith(shape, 'OBJECT'), false)")
+        is_open = F.expr("node IS NOT NULL AND coalesce(startswith(shape, 'OBJECT') AND shape <> 'OBJECT<>', false)")
         parts.append(nodes.where(~is_open))
         nodes = settled(nodes.where(is_open))
     # An empty object below the last level is no leaf; any other object there is unfinished.
@@ -89,8 +106,7 @@ def flatten_records(records: DataFrame, levels: int | None = None) -> DataFrame:
             ),
         )
     )
-    checked = reduce(DataFrame.unionByName, parts)
-    return checked.where("path IS NOT NULL AND NOT (node IS NOT NULL AND startswith(shape, 'OBJECT'))")
+    return reduce(DataFrame.unionByName, parts)
 
 
 def flatten_struct(df: DataFrame) -> DataFrame:
@@ -273,11 +289,36 @@ def field_profile(fields: DataFrame, rules: RecordRules = RecordRules()) -> Data
 # -- duplicates ---------------------------------------------------------------
 
 
-def duplicate_records(records: DataFrame, levels: int | None = None) -> DataFrame:
-    """Copies after the first among VARIANT records; an absent field equals a null one."""
+def record_digests(records: DataFrame, levels: int | None = None) -> DataFrame:
+    """``(d0, d1, d2, d3)`` of every VARIANT record: equal exactly when the same non-null fields are.
+
+    A record's digest is the sum, over its leaves, of two 64-bit hashes of keys and
+    value, so their order does not matter and the leaves of a record combine in the task that
+    walked them; 32 bytes of each record are shuffled. Null fields and empty objects add
+    nothing. Sums are kept of 32 bits each, which cannot overflow.
+    """
     if levels is None:
         levels = measured_levels(records)
-    return duplicate_summary(records.select("v").select(canonical_record(F.col("v"), max(levels, 1)).alias("record")))
+    numbered = records.select(F.monotonically_increasing_id().alias("record"), "v")
+    if levels > STAGE_LEVELS:
+        # Walked in several jobs, which must agree on the numbers.
+        numbered = settled(numbered)
+    ends = _walked(numbered, levels, trails=True)
+    empty = F.is_variant_null("node") & F.col("trail").isNotNull() | F.col("shape").startswith("OBJECT")
+    text = F.when(F.col("node").isNull(), F.lit("missing")).when(~empty, leaf_text(F.col("node"), F.col("shape")))
+    hashed = ends.select("record", "trail", text.alias("text")).select(
+        "record",
+        F.when(F.col("text").isNotNull(), F.xxhash64("trail", "text")).alias("a"),
+        F.when(F.col("text").isNotNull(), F.xxhash64("text", F.lit(1), "trail")).alias("b"),
+    )
+    halves = [half for c in "ab" for half in (F.col(c).bitwiseAND(0xFFFFFFFF), F.shiftrightunsigned(c, 32))]
+    sums = [F.coalesce(F.sum(half), F.lit(0)).alias(f"d{i}") for i, half in enumerate(halves)]
+    return hashed.groupBy("record").agg(*sums).drop("record")
+
+
+def duplicate_records(records: DataFrame, levels: int | None = None) -> DataFrame:
+    """Copies after the first among VARIANT records; an absent field equals a null one."""
+    return duplicate_summary(record_digests(records.select("v"), levels))
 
 
 def typed_duplicate_records(df: DataFrame) -> DataFrame:

@@ -1,11 +1,12 @@
 """Semi-structured records."""
 
 import json
+import random
 
 import pytest
 from pyspark.sql import functions as F
 
-from plumbline.functions.jsontext import canonical_record, is_whole_json, nesting_depth
+from plumbline.functions.jsontext import is_whole_json, nesting_depth
 from plumbline.operators.records import (
     duplicate_records,
     field_metrics,
@@ -13,6 +14,7 @@ from plumbline.operators.records import (
     flatten_records,
     flatten_struct,
     max_nesting_depth,
+    record_digests,
 )
 from plumbline.plans.records import record_checks, record_scores, validate_records
 
@@ -92,11 +94,43 @@ def test_deep_records_are_compared_whole(spark):
 
     same = [{"k": 1}, {"k": 1, "a": None}, {"a": {"b": {}}, "k": 1}, {"k": 1e0}]
     other = [{"k": 2}, {"k": 1, "a": [None, {}]}, {"k": 'x"{}:null,'}]
-    rows = [canonical_record(F.col("v"), levels).alias("r") for levels in (21, 5)]
     records = variants(spark, *(deep(r) for r in same + other))
-    assert len({r.r for r in records.select(rows[0]).collect()}) == 4
-    shallow = variants(spark, *same, *other, {"k": 1e20, "s": "é\n"}, {"a": -2.5, "b": [1e0]}).select(*rows[:1], rows[1].alias("s"))
-    assert all(r.r == r.s for r in shallow.collect())
+    assert len(set(record_digests(records).collect())) == 4
+    shallow = variants(spark, *same, *other)
+    assert len(set(record_digests(shallow).collect())) == 4
+    # Copies forty levels down, next to shallow ones.
+    nested = [deep(deep(r)) for r in same + other]
+    assert duplicate_records(variants(spark, *nested, *same)).first().duplicate_count == 6
+
+
+def test_digests_against_brute_force(spark):
+    """Random records with nulls, empty objects, dots in keys, lists and swapped fields."""
+    rng = random.Random(6)
+
+    def value(depth):
+        kind = rng.randrange(9 if depth else 6)
+        if kind > 5:
+            keys = rng.sample(["a", "b", "a.b", "c"], rng.randrange(4))
+            return {k: value(depth - 1) for k in keys}
+        return [None, 1, 2.5, "1", [1, None], True][kind]
+
+    def bare(x):
+        if not isinstance(x, dict):
+            return json.dumps(x)
+        return tuple(sorted((k, bare(v)) for k, v in x.items() if v is not None and bare(v) != ()))
+
+    records = [{k: value(3) for k in rng.sample(["a", "b", "a.b"], rng.randrange(3))} for _ in range(400)]
+    different = len({bare(r) for r in records})
+    assert 50 < different < 350
+    assert len(set(record_digests(variants(spark, *records)).collect())) == different
+    assert duplicate_records(variants(spark, *records)).first().duplicate_count == 400 - different
+
+
+def test_records_that_are_no_objects(spark):
+    records = variants(spark, "[1]", "[1]", "1", "null", "null", "{}", '{"a":null}', '"null"')
+    assert len(set(record_digests(records).collect())) == 5
+    missing = spark.sql("SELECT parse_json(CAST(NULL AS STRING)) AS v UNION ALL SELECT parse_json('{}')")
+    assert duplicate_records(missing).first().duplicate_count == 0
 
 
 def test_deep_records_are_whole(spark):
