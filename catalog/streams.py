@@ -12,6 +12,7 @@ from plumbline.session import checkpoint_dir
 from plumbline.sources.results import read_results
 from plumbline.streaming.metrics import drop_repeats, window_freshness, window_metrics
 from plumbline.streaming.runs import quality_stream
+from plumbline.streaming.sinks import latest_rows, stream_rows, table_stream
 from plumbline.streaming.sources import event_time, read_stream
 
 
@@ -40,15 +41,10 @@ def _event_stream(spark, sf_dir):
 
 
 def _drained(spark, stream, mode):
-    """Run a stream to its end into an in-memory table and return that."""
-    name = "drained_" + uuid.uuid4().hex
-    folder = f"{checkpoint_dir(spark)}/{name}"
-    query = (
-        stream.writeStream.format("memory").queryName(name).outputMode(mode)
-        .option("checkpointLocation", folder).trigger(availableNow=True).start()
-    )
-    query.awaitTermination()
-    return spark.table(name)
+    """Run a stream to its end into a table in the shared folder and give its rows."""
+    base = f"{checkpoint_dir(spark)}/drained-{uuid.uuid4().hex}"
+    table_stream(stream, f"{base}/rows", f"{base}/checkpoint", mode).awaitTermination()
+    return stream_rows(spark, f"{base}/rows", stream.schema)
 
 
 def window_metrics_events(spark, sf_dir):
@@ -70,7 +66,8 @@ def window_freshness_events(spark, sf_dir):
 def stream_window_metrics(spark, sf_dir):
     """The same windows from a stream that has read everything."""
     metrics = _metrics(_event_stream(spark, sf_dir), keys=("event_type",))
-    return _rounded(_drained(spark, metrics, "complete"))
+    rows = _drained(spark, metrics, "update")
+    return _rounded(latest_rows(rows, ["window_start", "window_end", "event_type"]))
 
 
 def stream_without_repeats(spark, sf_dir):
@@ -79,6 +76,20 @@ def stream_without_repeats(spark, sf_dir):
     return _drained(spark, unique, "append").groupBy("event_type").agg(F.count(F.lit(1)).alias("n"))
 
 
+def stream_batches(spark, sf_dir):
+    """The windows when the events come in four batches that change them one after another."""
+    base = f"{checkpoint_dir(spark)}/daily-{uuid.uuid4().hex}"
+    events = table(spark, sf_dir, "events")
+    parts = F.pmod(F.hash("user_id"), F.lit(4))
+    # A file for each fourth of the users; every window is changed by each of them.
+    events.withColumn("part", parts).repartition(4, "part").write.partitionBy("part").parquet(f"{base}/in")
+    files = read_stream(spark, f"{base}/in/part=*", events.schema, max_files=1)
+    metrics = _metrics(files, keys=("event_type",), delay="400 days")
+    table_stream(metrics, f"{base}/rows", f"{base}/checkpoint", "update").awaitTermination()
+    rows = stream_rows(spark, f"{base}/rows", metrics.schema)
+    return _rounded(latest_rows(rows, ["window_start", "window_end", "event_type"]))
+
+
 def stream_quality_runs(spark, sf_dir):
     """A quality record per micro-batch, read back from the result table."""
     base = f"{checkpoint_dir(spark)}/runs-{uuid.uuid4().hex}"
@@ -104,6 +115,7 @@ QUERIES = {
     "sliding_metrics_events": sliding_metrics_events,
     "window_freshness_events": window_freshness_events,
     "stream_window_metrics": stream_window_metrics,
+    "stream_batches": stream_batches,
     "stream_without_repeats": stream_without_repeats,
     "stream_quality_runs": stream_quality_runs,
 }
@@ -119,6 +131,7 @@ SELECT strftime(w, '%Y-%m-%d %H:%M:%S') AS window_start, strftime(w + INTERVAL '
 SELECT strftime(ts, '%Y-%m-%d') AS day, event_type, strftime(max(ts), '%Y-%m-%d %H:%M:%S.%f') AS latest,
   date_diff('day', max(CAST(ts AS DATE)), DATE '2024-02-15') AS age_days FROM events GROUP BY 1, 2""",
     "stream_window_metrics": _TUMBLING,
+    "stream_batches": _TUMBLING,
     "stream_without_repeats": """
 SELECT event_type, count(DISTINCT user_id) AS n FROM events GROUP BY event_type""",
     "stream_quality_runs": "SELECT dataset_name, 'events-000000000000' AS run_id, overall_score FROM ("
