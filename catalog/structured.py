@@ -24,9 +24,11 @@ from plumbline.operators.columns import (
     sample_values,
 )
 from plumbline.operators.duplicates import duplicate_summary, mark_duplicates, row_groups
+from plumbline.operators.selection import selected_quantiles
 from plumbline.plans.structured import derived_metrics, structured_checks, validate_structured
 
 NUMBER_SQL = r"'^[+-]?([0-9]+\.?[0-9]*([eE][+-]?[0-9]+)?|\.[0-9]+([eE][+-]?[0-9]+)?)$'"
+QUANTILES = (0.05, 0.5, 0.95)
 DATE_SQL = r"'^[0-9]{4}-[0-9]{2}-[0-9]{2}([T ]|$)'"
 
 
@@ -48,6 +50,11 @@ def _rounded(profile):
     )
 
 
+def selected_quantiles_lineitem(spark, sf_dir):
+    chosen = selected_quantiles(table(spark, sf_dir, "lineitem"), QUANTILES)
+    return chosen.select("column", "probability", F.round("value", 3).alias("value"))
+
+
 def rule_metrics_dirty_orders(spark, sf_dir):
     metrics = column_metrics(dirty_orders(spark, sf_dir), ORDERS_AS_OF)
     derived = derived_metrics(metrics, ORDERS_AS_OF, StructuredRules())
@@ -293,6 +300,7 @@ _lineitem_counts = " UNION ALL ".join(
 QUERIES = {
     "profile_dirty_orders": profile_dirty_orders,
     "profile_lineitem": profile_lineitem,
+    "selected_quantiles_lineitem": selected_quantiles_lineitem,
     "rule_metrics_dirty_orders": rule_metrics_dirty_orders,
     "distinct_lineitem": distinct_lineitem,
     "approx_distinct_within_error": approx_distinct_within_error,
@@ -310,6 +318,13 @@ QUERIES = {
 SQL = {
     "profile_dirty_orders": profile_sql(DIRTY_ORDERS_SQL, DIRTY_ORDERS_COLUMNS),
     "profile_lineitem": profile_sql("SELECT * FROM lineitem", LINEITEM_COLUMNS),
+    "selected_quantiles_lineitem": " UNION ALL ".join(
+        f"SELECT '{name}' AS \"column\", CAST({p} AS DOUBLE) AS probability, "
+        f"round(quantile_cont(CAST({name} AS DOUBLE), {p}), 3) AS value FROM lineitem"
+        for name, kind, _ in LINEITEM_COLUMNS
+        if kind == "numeric"
+        for p in QUANTILES
+    ),
     "rule_metrics_dirty_orders": RULE_METRICS_SQL,
     "distinct_lineitem": _lineitem_counts,
     "approx_distinct_within_error": f'SELECT "column", true AS is_close FROM ({_lineitem_counts})',

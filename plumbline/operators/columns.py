@@ -21,6 +21,7 @@ from pyspark.sql import Window
 from plumbline.config import StructuredRules, as_of_column
 from plumbline.functions import names
 from plumbline.functions.dates import parse_datetime, parse_number
+from plumbline.operators.selection import selected_quantiles
 from plumbline.session import settled
 
 
@@ -260,53 +261,10 @@ def unique_count_map(df: DataFrame, mode: str = "exact", strict_names: bool = Fa
 def exact_medians(df: DataFrame, accuracy: int = 10_000) -> DataFrame:
     """``(ref, median)`` with linear interpolation, exact, for each numeric column.
 
-    A quantile sketch brackets the median first; its rank error is bounded, so
-    the true middle lies inside the bracket. A second scan folds every value
-    below and above the bracket into two groups and counts the values between
-    exactly, so the ordered part holds a few ``rows / accuracy`` values instead
-    of the whole column.
+    Ranks are found by counting (:mod:`plumbline.operators.selection`); no task orders values.
     """
-    infos = [c for c in describe(df) if c.kind == names.NUMERIC]
-    values = positional(df, infos).select(*[F.col(c.ref).cast("double").alias(c.ref) for c in infos])
-    slack = 3.0 / accuracy
-    brackets = values.agg(
-        F.struct(
-            *[
-                F.percentile_approx(c.ref, [0.5 - slack, 0.5 + slack], accuracy).alias(c.ref)
-                for c in infos
-            ]
-        ).alias("brackets")
-    ).scalar()
-    below, above = F.lit(float("-inf")), F.lit(float("inf"))
-    folded = values.withColumn("brackets", brackets).select(
-        *[
-            F.when(F.col(c.ref) < F.col(f"brackets.{c.ref}")[0], below)
-            .when(F.col(c.ref) > F.col(f"brackets.{c.ref}")[1], above)
-            .otherwise(F.col(c.ref))
-            .alias(c.ref)
-            for c in infos
-        ]
-    )
-    counted = (
-        folded.unpivot([], [c.ref for c in infos], "ref", "x")
-        .where(F.col("x").isNotNull())
-        .groupBy("ref", "x")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
-    running = Window.partitionBy("ref").orderBy("x").rowsBetween(Window.unboundedPreceding, 0)
-    whole = Window.partitionBy("ref")
-    ranked = counted.select(
-        "ref",
-        "x",
-        F.sum("n").over(running).alias("last_rank"),
-        (F.sum("n").over(running) - F.col("n")).alias("before"),
-        F.sum("n").over(whole).alias("total"),
-    )
-    lower, upper = F.floor((F.col("total") + 1) / 2), F.floor((F.col("total") + 2) / 2)
-    covers = lambda rank: (F.col("before") < rank) & (rank <= F.col("last_rank"))
-    return ranked.groupBy("ref").agg(
-        ((F.max(F.when(covers(lower), F.col("x"))) + F.max(F.when(covers(upper), F.col("x")))) / 2).alias("median")
-    )
+    chosen = selected_quantiles(df, (0.5,), accuracy=accuracy).where(F.col("value").isNotNull())
+    return chosen.select(F.concat(F.lit("c"), F.col("position").cast("string")).alias("ref"), F.col("value").alias("median"))
 
 
 def approx_medians(df: DataFrame, accuracy: int = 10_000) -> DataFrame:
