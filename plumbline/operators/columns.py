@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import Window
 
-from plumbline.config import StructuredRules, as_of_column
+from plumbline.config import DIMENSIONS, StructuredRules, as_of_column
 from plumbline.functions import names
 from plumbline.functions.dates import parse_datetime, parse_number
 from plumbline.operators.selection import selected_quantiles
@@ -90,9 +90,22 @@ def sql_text(value: str) -> str:
 
 # -- moments and range counts -------------------------------------------------
 
+# What each dimension reads, so that one can be computed without what the others need.
+METRICS_OF = {
+    "completeness": ("present",),
+    "accuracy": ("present", "single", "min", "max", "mean", "std"),
+    "consistency": ("present", "single", "numeric", "dates"),
+    "freshness": ("present", "dates", "latest"),
+    "uniqueness": ("present", "single"),
+    "validity": ("present", "dates", "negative", "future", "long"),
+}
+COUNT_DISTINCT = ("accuracy", "consistency", "uniqueness")
 
-def range_metrics(df: DataFrame, as_of, rules: StructuredRules) -> DataFrame:
-    """One row holding every scan-only metric, as ``rows`` and ``<metric>_<position>``."""
+
+def range_metrics(
+    df: DataFrame, as_of, rules: StructuredRules, dimensions: Iterable[str] = DIMENSIONS
+) -> DataFrame:
+    """One row holding every scan-only metric of ``dimensions``, as ``rows`` and ``<metric>_<position>``."""
     infos = describe(df)
     values = positional(df, infos)
     parsed = [F.col(c.ref) for c in infos]
@@ -130,7 +143,9 @@ def range_metrics(df: DataFrame, as_of, rules: StructuredRules) -> DataFrame:
             ]
         if c.kind in (names.STRING, names.TEMPORAL):
             aggregates += [f"max({ref}_ts) AS latest_{i}", f"count_if({ref}_ts > midnight) AS future_{i}"]
-    return values.select(*parsed).selectExpr(*aggregates)
+    wanted = {"rows"}.union(*[METRICS_OF[d] for d in dimensions])
+    kept = [a for a in aggregates if a.rsplit(" AS ", 1)[1].split("_")[0] in wanted]
+    return values.select(*parsed).selectExpr(*kept)
 
 
 def outlier_counts(df: DataFrame, z_limit: float = 3.0, ranges: DataFrame | None = None) -> DataFrame:
@@ -303,18 +318,23 @@ def column_metrics(
     as_of=None,
     rules: StructuredRules = StructuredRules(),
     distinct: str = "exact",
+    dimensions: Iterable[str] = DIMENSIONS,
 ) -> DataFrame:
-    """All metrics the quality rules read, one row per column.
+    """All metrics the quality rules of ``dimensions`` read, one row per column.
 
     With ``distinct="rules"`` the distinct count of a plain number or instant is
     null when it exceeds one.
     """
     infos, strict_names = describe(df), rules.strict_names
     # One row, computed once: the outlier scan takes its moments from it.
-    wide = ranges = settled(range_metrics(df, as_of, rules))
+    wide = ranges = settled(range_metrics(df, as_of, rules, dimensions))
     available = set(wide.columns)
-    wide = wide.withColumn("unique_counts", unique_count_map(df, distinct, strict_names))
-    if any(c.kind == names.NUMERIC for c in infos):
+    counts = F.create_map().cast("map<string,bigint>")
+    if set(dimensions) & set(COUNT_DISTINCT):
+        counts = unique_count_map(df, distinct, strict_names)
+    wide = wide.withColumn("unique_counts", counts)
+    with_outliers = "accuracy" in dimensions and any(c.kind == names.NUMERIC for c in infos)
+    if with_outliers:
         counts = outlier_counts(df, rules.z_limit, ranges)
         wide = wide.withColumn("outliers", counts.select(F.struct(*counts.columns)).scalar())
 
@@ -327,7 +347,7 @@ def column_metrics(
         return f"CAST({column if column in available else 0} AS BIGINT)"
 
     def unique(c: ColumnInfo) -> str:
-        if distinct == "rules" and not needs_distinct(c, strict_names):
+        if distinct == "rules" and not needs_distinct(c, strict_names) and f"single_{c.position}" in available:
             # Zero or one when known, null when there are more.
             return f"CASE WHEN present_{c.position} = 0 THEN 0 WHEN single_{c.position} THEN 1 END"
         return f"coalesce(element_at(unique_counts, '{c.ref}'), 0)"
@@ -335,7 +355,7 @@ def column_metrics(
     rows = []
     for c in infos:
         i = c.position
-        outliers = f"outliers.outliers_{i}" if c.kind == names.NUMERIC else "0"
+        outliers = f"outliers.outliers_{i}" if with_outliers and c.kind == names.NUMERIC else "0"
         fields = {
             "position": str(i),
             "column": sql_text(c.name),

@@ -9,12 +9,12 @@ from functools import partial, reduce
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from plumbline.config import DIMENSIONS, QualityConfig, as_of_column
+from plumbline.config import QualityConfig, as_of_column
 from plumbline.functions.names import is_free_text_table
 from plumbline.operators.documents import text_features
 from plumbline.operators.records import flatten_records
-from plumbline.plans.records import RecordPlan
-from plumbline.plans.results import result_record
+from plumbline.plans.isolation import failed_records, reason_of
+from plumbline.plans.records import isolated_records
 from plumbline.plans.structured import validate_structured
 from plumbline.plans.text import validate_features
 from plumbline.session import settled
@@ -23,40 +23,17 @@ from plumbline.sources.inventory import list_files
 from plumbline.sources.records import load_records
 from plumbline.sources.results import replace_run, replace_run_checks
 from plumbline.sources.tabular import csv_header, load_table
-from plumbline.types import check_struct
 
 log = logging.getLogger(__name__)
 
 
-def failed_records(
-    failed: DataFrame, data_type: str, config: QualityConfig, as_of=None, run_id: str = ""
-) -> DataFrame:
-    """Records of score zero for ``(dataset_name, source_path, reason)`` rows that could not be checked."""
-    column = "document" if data_type == "text" else "dataset"
-    failures = F.array(
-        *[check_struct(d, column, "check to complete without error", F.col("reason"), "error") for d in DIMENSIONS]
-    )
-    scored = failed.select(
-        "dataset_name",
-        "source_path",
-        *[F.lit(0.0).alias(d) for d in DIMENSIONS],
-        failures.alias("failed_checks"),
-        F.create_map().cast("map<string,string>").alias("metadata"),
-    )
-    return result_record(
-        scored, data_type, config, F.col("dataset_name"), as_of_column(as_of), run_id, F.col("source_path")
-    )
-
-
 def failed_result(
     spark: SparkSession, dataset_name: str, data_type: str, error: Exception, config: QualityConfig, as_of=None,
     run_id: str = "", source_path: str = "",
 ) -> DataFrame:
     """A record of score zero that says why a dataset could not be checked."""
-    lines = [line for line in str(error).splitlines() if line.strip()]
-    reason = lines[0] if lines else type(error).__name__
     one = spark.createDataFrame(
-        [(dataset_name, source_path, reason)], "dataset_name string, source_path string, reason string"
+        [(dataset_name, source_path, reason_of(error))], "dataset_name string, source_path string, reason string"
     )
     return failed_records(one, data_type, config, as_of, run_id)
 
@@ -89,12 +66,12 @@ def run_folder(
         try:
             if f["data_type"] == "structured":
                 table = load_table(spark, f["path"])
-                done = validate_structured(table, f["stem"], as_of, config, run_id=run_id, source_path=f["path"])
-                return settled(done), None, True
+                done = validate_structured(
+                    table, f["stem"], as_of, config, run_id=run_id, source_path=f["path"], isolate=True
+                )
+                return done, None, True
             records, kind = load_records(spark, f["path"])
-            plan = RecordPlan(records, as_of, config)
-            done = plan.result(f["stem"], run_id, f["path"], kind, inline=False)
-            return settled(done), settled(plan.run_checks(f["stem"], run_id)), True
+            return *isolated_records(records, f["stem"], as_of, config, run_id, f["path"], kind), True
         except Exception as error:  # noqa: BLE001 - any failure of one data set is reported as its result
             log.exception("data set failed")
             return failed_result(spark, f["stem"], f["data_type"], error, config, as_of, run_id, f["path"]), None, False
@@ -142,7 +119,8 @@ def _documents(spark, folder, sources, as_of, config: QualityConfig, run_id: str
         features = reduce(partial(DataFrame.unionByName, allowMissingColumns=True), good)
         parts.append(
             validate_features(
-                features, "doc_id", as_of, "modified_at", config, unique_names=False, run_id=run_id, source_path="source_path"
+                features, "doc_id", as_of, "modified_at", config, unique_names=False, run_id=run_id, source_path="source_path",
+                isolate=True,
             )
         )
     return parts, failures

@@ -8,10 +8,13 @@ in an array; a run keeps them as ranked rows beside the records instead.
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.config import QualityConfig, RecordRules, as_of_column
+from plumbline.config import DIMENSIONS, QualityConfig, RecordRules, as_of_column
 from plumbline.functions import names
 from plumbline.functions.dates import age_days, two_zone_decay
 from plumbline.functions.jsontext import FIELD_NAME_LEGAL, FIELD_NAME_PATTERN, nesting_depth
@@ -23,9 +26,12 @@ from plumbline.operators.records import (
     typed_duplicate_records,
     typed_field_metrics,
 )
-from plumbline.plans.results import check_rows, ordered_failures, ranked_check, result_record
+from plumbline.plans.isolation import by_dimension
+from plumbline.plans.results import check_rows, checks_of, failed_alone, ordered_failures, result_record
 from plumbline.session import settled
-from plumbline.types import CHECK_COLUMNS, CHECK_TYPE, present
+from plumbline.types import CHECK_COLUMNS, CHECK_TYPE
+
+log = logging.getLogger(__name__)
 
 
 def derived_fields(fields: DataFrame, as_of, rules: RecordRules) -> DataFrame:
@@ -59,19 +65,20 @@ def _bad_characters(path: Column) -> Column:
     return F.array_join(F.transform(chars, lambda c: F.concat(F.lit("'"), c, F.lit("'"))), ", ")
 
 
-def field_checks(rules: RecordRules) -> Column:
+def field_checks(rules: RecordRules, dimensions: Iterable[str] = DIMENSIONS) -> Column:
     """Array of the failed checks of one derived field row."""
+    check = checks_of(dimensions)
     path = F.col("path")
     share = lambda bad: F.col(bad) / F.greatest(F.col("non_null"), F.lit(1))
-    return present(
-        ranked_check(
+    return failed_alone(
+        check(
             "completeness", path, 0, F.col("null_rate") > rules.null_warn,
             "null_rate", path,
             f"null_rate <= {percent_text(rules.null_warn)}",
             percent("null_rate"),
             _severity(F.col("null_rate") > rules.null_error),
         ),
-        ranked_check(
+        check(
             "accuracy", path, 0, F.col("is_mixed"),
             "type_inconsistency", path,
             f"<= {percent_text(rules.type_mix_warn)} minority-type values",
@@ -81,21 +88,21 @@ def field_checks(rules: RecordRules) -> Column:
             ),
             _severity(F.col("mix_rate") > rules.type_mix_error),
         ),
-        ranked_check(
+        check(
             "consistency", path, 0, F.col("is_unexpected"),
             "unexpected_key", path,
             f"field present in >= {percent_text(rules.sparse_share)} of records",
             f"field present in < {percent_text(rules.sparse_share)} of records",
             "warning",
         ),
-        ranked_check(
+        check(
             "consistency", path, 1, F.col("is_bad_name"),
             "invalid_field_name", path,
             "field name with only letters, digits, _ or .",
             F.concat(F.lit("contains invalid character(s): "), _bad_characters(path)),
             "error",
         ),
-        ranked_check(
+        check(
             "freshness", path, 0, F.col("is_stale"),
             "stale_data", path,
             f"most recent value within {rules.recent_days} days",
@@ -104,14 +111,14 @@ def field_checks(rules: RecordRules) -> Column:
             ),
             _severity(F.col("age_days") >= rules.stale_days),
         ),
-        ranked_check(
+        check(
             "validity", path, 1, F.col("is_url") & (F.col("bad_urls") > 0),
             "invalid_url", path,
             "values starting with http:// or https://",
             F.format_string("%d value(s) do not start with http", "bad_urls"),
             _severity(share("bad_urls") >= rules.bad_share_error),
         ),
-        ranked_check(
+        check(
             "validity", path, 2, F.col("is_email") & (F.col("bad_emails") > 0),
             "invalid_email", path,
             "values matching <local>@<domain>.<tld>",
@@ -121,22 +128,23 @@ def field_checks(rules: RecordRules) -> Column:
     )
 
 
-def dataset_checks(rules: RecordRules) -> Column:
+def dataset_checks(rules: RecordRules, dimensions: Iterable[str] = DIMENSIONS) -> Column:
     """Array of the failed checks that concern the whole set, from the totals row."""
-    return present(
-        ranked_check(
+    check = checks_of(dimensions)
+    return failed_alone(
+        check(
             "freshness", "", 0, F.col("date_fields") == 0,
             "no_date_fields", "dataset",
             "at least one date or timestamp field", "none found", "warning",
         ),
-        ranked_check(
+        check(
             "uniqueness", "", 0, F.col("duplicate_rate") > rules.duplicate_warn,
             "duplicate_records", "dataset",
             f"duplicate_rate <= {percent_text(rules.duplicate_warn)}",
             F.format_string("%s (%d record(s))", percent("duplicate_rate"), F.col("duplicate_count")),
             _severity(F.col("duplicate_rate") > rules.duplicate_error),
         ),
-        ranked_check(
+        check(
             "validity", "", 0, F.col("max_nesting_depth") > rules.max_depth,
             "excessive_nesting_depth", "dataset",
             f"max_nesting_depth <= {rules.max_depth}",
@@ -146,14 +154,32 @@ def dataset_checks(rules: RecordRules) -> Column:
     )
 
 
+def named_checks(ranked: DataFrame, dataset_name: str, run_id: str) -> DataFrame:
+    """Ranked checks as rows of the table of a run."""
+    named = ranked.select(
+        F.lit(run_id).alias("run_id"),
+        F.lit(dataset_name).alias("dataset_name"),
+        "dimension_order",
+        "position",
+        "seq",
+        "dimension",
+        "failed.*",
+    )
+    return named.select(*CHECK_COLUMNS)
+
+
 class RecordPlan:
     """The shared parts of one data set's checks, scores and result record.
 
     ``records`` is either a table with one VARIANT column ``v`` or any table
-    with a known schema.
+    with a known schema. ``only`` leaves out all but one dimension; its parts
+    are then not settled, so the planner drops what that one does not read.
     """
 
-    def __init__(self, records: DataFrame, as_of=None, config: QualityConfig = QualityConfig(), levels=None):
+    def __init__(
+        self, records: DataFrame, as_of=None, config: QualityConfig = QualityConfig(), levels=None, only: str | None = None
+    ):
+        self.dimensions = DIMENSIONS if only is None else (only,)
         self.config, self.rules, self.as_of = config, config.records, as_of
         if records.columns == ["v"]:
             # One measuring pass; its number sizes the walk and is itself a metric.
@@ -168,8 +194,9 @@ class RecordPlan:
             ).scalar()
         # One row per path and one row of totals: settled, so that scores and
         # checks do not each scan the records again.
-        self.fields = settled(derived_fields(fields, as_of, self.rules))
-        self.totals = settled(self._totals(duplicates, depth))
+        keep = settled if only is None else lambda df: df
+        self.fields = keep(derived_fields(fields, as_of, self.rules))
+        self.totals = keep(self._totals(duplicates, depth))
 
     def _totals(self, duplicates: DataFrame, depth: Column) -> DataFrame:
         bad_link = (F.col("is_url") & (F.col("bad_urls") > 0)).cast("int")
@@ -215,8 +242,15 @@ class RecordPlan:
         )
 
     def ranked_checks(self) -> DataFrame:
-        per_field = self.fields.select(F.inline(field_checks(self.rules)))
-        return per_field.unionByName(self.totals.select(F.inline(dataset_checks(self.rules))))
+        per_field = self.fields.select(F.inline(field_checks(self.rules, self.dimensions)))
+        return per_field.unionByName(self.totals.select(F.inline(dataset_checks(self.rules, self.dimensions))))
+
+    def part(self, dimension: str) -> tuple[DataFrame, DataFrame]:
+        """Score and metadata of one dimension, and its failed checks."""
+        known = {"completeness": ("field_count",), "uniqueness": ("record_count",), "validity": ("max_nesting_depth",)}
+        entries = [x for key in known.get(dimension, ()) for x in (F.lit(key), F.col(key).cast("string"))]
+        metadata = F.create_map(*entries).cast("map<string,string>").alias("metadata")
+        return self.scores().select(dimension, metadata), self.ranked_checks()
 
     def checks(self) -> DataFrame:
         """Every failed check as a row, however many there are."""
@@ -224,16 +258,7 @@ class RecordPlan:
 
     def run_checks(self, dataset_name: str, run_id: str = "") -> DataFrame:
         """Every failed check with the keys that put it into report order, for the table of a run."""
-        named = self.ranked_checks().select(
-            F.lit(run_id).alias("run_id"),
-            F.lit(dataset_name).alias("dataset_name"),
-            "dimension_order",
-            "position",
-            "seq",
-            "dimension",
-            "failed.*",
-        )
-        return named.select(*CHECK_COLUMNS)
+        return named_checks(self.ranked_checks(), dataset_name, run_id)
 
     def result(
         self, dataset_name: str, run_id: str = "", source_path: str = "", format: str = "unknown", inline: bool = True
@@ -284,3 +309,35 @@ def validate_records(
 ) -> DataFrame:
     """All six dimensions, the failed checks and the weighted score as one result record."""
     return RecordPlan(records, as_of, config).result(dataset_name, run_id, source_path, format)
+
+
+def isolated_records(
+    records: DataFrame,
+    dataset_name: str,
+    as_of=None,
+    config: QualityConfig = QualityConfig(),
+    run_id: str = "",
+    source_path: str = "",
+    format: str = "unknown",
+) -> tuple[DataFrame, DataFrame]:
+    """The record without inline checks, and its failed checks as rows, both computed now.
+
+    Should that fail, each dimension is computed alone; one that fails again scores zero with
+    the reason, and the others keep their scores and checks.
+    """
+    try:
+        plan = RecordPlan(records, as_of, config)
+        done = settled(plan.result(dataset_name, run_id, source_path, format, inline=False))
+        return done, settled(plan.run_checks(dataset_name, run_id))
+    except Exception:  # noqa: BLE001 - each dimension reports its own failure below
+        log.exception("data set failed as a whole")
+    scored, ranked = by_dimension(
+        records.sparkSession, lambda dimension: RecordPlan(records, as_of, config, only=dimension).part(dimension)
+    )
+    finished = scored.withColumn("failed_checks", F.array().cast(f"array<{CHECK_TYPE}>")).withColumn(
+        "metadata", F.map_concat("metadata", F.create_map(F.lit("format"), F.lit(format)))
+    )
+    done = result_record(
+        finished, "semi_structured", config, dataset_name, as_of_column(as_of), run_id, source_path
+    )
+    return settled(done), settled(named_checks(ranked, dataset_name, run_id))

@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from plumbline.config import DIMENSIONS, QualityConfig
 from plumbline.functions.scoring import weighted_score
-from plumbline.types import RESULT_COLUMNS, check_struct
+from plumbline.types import RESULT_COLUMNS, check_struct, present
 
 
 def ranked_check(dimension, position, seq, when, check, column, expected, actual, severity) -> Column:
@@ -25,6 +27,22 @@ def ranked_check(dimension, position, seq, when, check, column, expected, actual
     )
 
 
+def checks_of(dimensions: Iterable[str]) -> Callable[..., Column | None]:
+    """:func:`ranked_check` for the checks of ``dimensions``, None for all others."""
+    wanted = set(dimensions)
+
+    def check(dimension, *rest) -> Column | None:
+        return ranked_check(dimension, *rest) if dimension in wanted else None
+
+    return check
+
+
+def failed_alone(*candidates: Column | None) -> Column:
+    """Array of the failed checks among the candidates, typed even where none was wanted."""
+    never = ranked_check(DIMENSIONS[0], "", 0, F.lit(False), "", "", "", "", "")
+    return present(never, *[c for c in candidates if c is not None])
+
+
 def ordered_failures(ranked: Column) -> Column:
     """Ranked checks in report order, without their keys."""
     return F.transform(F.array_sort(ranked), lambda c: c["failed"])

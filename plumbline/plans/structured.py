@@ -7,15 +7,21 @@ result record is bounded by the width of the table.
 
 from __future__ import annotations
 
+import logging
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from plumbline.config import QualityConfig, StructuredRules, as_of_column
+from plumbline.config import DIMENSIONS, QualityConfig, StructuredRules, as_of_column
 from plumbline.functions.scoring import percent, percent_text
 from plumbline.operators.columns import column_metrics
 from plumbline.operators.duplicates import duplicate_summary
-from plumbline.plans.results import check_rows, ordered_failures, padded, ranked_check, result_record
-from plumbline.types import present
+from plumbline.plans.isolation import by_dimension
+from plumbline.plans.results import check_rows, checks_of, failed_alone, ordered_failures, padded, result_record
+from plumbline.session import settled
+
+log = logging.getLogger(__name__)
 
 
 def derived_metrics(metrics: DataFrame, as_of, rules: StructuredRules) -> DataFrame:
@@ -43,51 +49,52 @@ def _severity(is_error: Column) -> Column:
     return F.when(is_error, F.lit("error")).otherwise(F.lit("warning"))
 
 
-def column_checks(as_of, rules: StructuredRules) -> Column:
+def column_checks(as_of, rules: StructuredRules, dimensions: Iterable[str] = DIMENSIONS) -> Column:
     """Array of the failed checks of one metrics row."""
+    check = checks_of(dimensions)
     position, column = padded(F.col("position")), F.col("column")
     today = F.date_format(as_of_column(as_of), "yyyy-MM-dd")
     parse_kind = F.when(F.col("numeric_parsed") >= F.col("datetime_parsed"), F.lit("numeric")).otherwise(
         F.lit("datetime")
     )
     has_rows = F.col("row_count") > 0
-    return present(
-        ranked_check(
+    return failed_alone(
+        check(
             "completeness", position, 0, F.col("null_rate") > rules.null_warn,
             "null_rate", column,
             f"<= {percent_text(rules.null_warn)}",
             percent("null_rate"),
             _severity(F.col("null_rate") > rules.null_error),
         ),
-        ranked_check(
+        check(
             "accuracy", position, 0, F.col("is_low_cardinality"),
             "low_cardinality", column,
             f">= {percent_text(rules.cardinality_ratio, 1)} unique ratio",
             percent("unique_ratio"),
             "warning",
         ),
-        ranked_check(
+        check(
             "accuracy", position, 1, F.col("outlier_count") > 0,
             "numeric_outliers", column,
             f"Z-score <= {rules.z_limit}",
             F.format_string("%d outlier(s) (%s)", F.col("outlier_count"), percent("outlier_rate")),
             _severity(F.col("outlier_rate") >= rules.outlier_error_rate),
         ),
-        ranked_check(
+        check(
             "consistency", position, 0, F.col("is_constant"),
             "constant_column", column,
             "unique_count > 1",
             F.format_string("unique_count=%d", "unique_count"),
             "warning",
         ),
-        ranked_check(
+        check(
             "consistency", position, 1, F.col("is_mixed"),
             "mixed_type", column,
             "uniform dtype, not object",
             F.concat(percent("parse_ratio", 0), F.lit(" of values parseable as "), parse_kind),
             "warning",
         ),
-        ranked_check(
+        check(
             "freshness", position, 0, F.col("is_stale"),
             "stale_data", column,
             f"most recent date within {rules.max_age_days} days",
@@ -96,7 +103,7 @@ def column_checks(as_of, rules: StructuredRules) -> Column:
             ),
             _severity(F.col("age_days") > rules.max_age_days * 2),
         ),
-        ranked_check(
+        check(
             "uniqueness", position, 1,
             has_rows & F.col("is_identifier") & (F.col("unique_count") < F.col("row_count")),
             "non_unique_identifier", column,
@@ -104,21 +111,21 @@ def column_checks(as_of, rules: StructuredRules) -> Column:
             F.format_string("%d repeated value(s)", F.col("row_count") - F.col("unique_count")),
             "error",
         ),
-        ranked_check(
+        check(
             "validity", position, 0, F.col("negative_count") > 0,
             "negative_value", column,
             ">= 0",
             F.format_string("%d negative value(s)", "negative_count"),
             "error",
         ),
-        ranked_check(
+        check(
             "validity", position, 1, F.col("future_cells") > 0,
             "future_date", column,
             F.concat(F.lit("<= today ("), today, F.lit(")")),
             F.format_string("%d future date(s)", "future_cells"),
             "warning",
         ),
-        ranked_check(
+        check(
             "validity", position, 2, F.col("long_count") > 0,
             "excessive_string_length", column,
             f"string length <= {rules.max_string_length} characters",
@@ -128,15 +135,16 @@ def column_checks(as_of, rules: StructuredRules) -> Column:
     )
 
 
-def dataset_checks(rules: StructuredRules) -> Column:
+def dataset_checks(rules: StructuredRules, dimensions: Iterable[str] = DIMENSIONS) -> Column:
     """Array of the failed checks that concern the table, from its totals row."""
-    return present(
-        ranked_check(
+    check = checks_of(dimensions)
+    return failed_alone(
+        check(
             "freshness", "", 0, F.col("date_columns") == 0,
             "no_date_columns", "dataset",
             "at least one date/datetime column", "none found", "warning",
         ),
-        ranked_check(
+        check(
             "uniqueness", "", 0, F.col("duplicate_rate") > rules.duplicate_warn,
             "duplicate_rows", "dataset",
             f"duplicate_rate <= {percent_text(rules.duplicate_warn)}",
@@ -146,9 +154,11 @@ def dataset_checks(rules: StructuredRules) -> Column:
     )
 
 
-def _totals(metrics: DataFrame, duplicates: DataFrame, as_of, rules: StructuredRules) -> DataFrame:
+def _totals(
+    metrics: DataFrame, duplicates: DataFrame, as_of, rules: StructuredRules, dimensions: Iterable[str] = DIMENSIONS
+) -> DataFrame:
     """One row: what the scores need, plus the column checks in one array."""
-    per_column = derived_metrics(metrics, as_of, rules).withColumn("checks", column_checks(as_of, rules))
+    per_column = derived_metrics(metrics, as_of, rules).withColumn("checks", column_checks(as_of, rules, dimensions))
     invalid = F.col("negative_count") + F.col("future_cells") + F.col("long_count")
     totals = per_column.agg(
         F.count(F.lit(1)).alias("column_count"),
@@ -207,6 +217,23 @@ def structured_checks(
     return check_rows(totals.select(F.inline(every)))
 
 
+def dimension_part(
+    df: DataFrame, dimension: str, as_of=None, config: QualityConfig = QualityConfig(), distinct: str = "rules"
+) -> tuple[DataFrame, DataFrame]:
+    """Score and metadata of one dimension, and its failed checks, from no more than it reads."""
+    rules, only = config.structured, (dimension,)
+    metrics = column_metrics(df, as_of, rules, distinct, only)
+    totals = _totals(metrics, duplicate_summary(df), as_of, rules, only)
+    known = {
+        "completeness": (("row_count", F.col("row_count")), ("column_count", F.col("column_count"))),
+        "uniqueness": (("duplicate_rate", F.round("duplicate_rate", 6)),),
+    }.get(dimension, ())
+    metadata = F.create_map(*[x for key, value in known for x in (F.lit(key), value.cast("string"))])
+    every = F.concat(F.col("column_failures"), dataset_checks(rules, only))
+    scored = _scores(totals, rules).select(dimension, metadata.cast("map<string,string>").alias("metadata"))
+    return scored, totals.select(F.inline(every))
+
+
 def validate_structured(
     df: DataFrame,
     dataset_name: str,
@@ -215,21 +242,45 @@ def validate_structured(
     distinct: str = "rules",
     run_id: str = "",
     source_path: str = "",
+    isolate: bool = False,
 ) -> DataFrame:
-    """All six dimensions, the failed checks and the weighted score as one result record."""
+    """All six dimensions, the failed checks and the weighted score as one result record.
+
+    With ``isolate`` the record is computed now; should that fail, each dimension is computed
+    alone, and one that fails again scores zero with the reason while the others keep theirs.
+    """
     rules = config.structured
     if not df.columns:
         raise ValueError("a table without columns has no quality to score")
-    scored = structured_scores(df, as_of, config, distinct)
-    every = F.concat(F.col("column_failures"), dataset_checks(rules))
-    finished = scored.withColumn("failed_checks", ordered_failures(every)).withColumn(
-        "metadata",
-        F.create_map(
-            F.lit("row_count"), F.col("row_count").cast("string"),
-            F.lit("column_count"), F.col("column_count").cast("string"),
-            F.lit("duplicate_rate"), F.round("duplicate_rate", 6).cast("string"),
-        ),
-    )
-    return result_record(
-        finished, "structured", config, dataset_name, as_of_column(as_of), run_id, source_path
+
+    def together() -> DataFrame:
+        scored = structured_scores(df, as_of, config, distinct)
+        every = F.concat(F.col("column_failures"), dataset_checks(rules))
+        finished = scored.withColumn("failed_checks", ordered_failures(every)).withColumn(
+            "metadata",
+            F.create_map(
+                F.lit("row_count"), F.col("row_count").cast("string"),
+                F.lit("column_count"), F.col("column_count").cast("string"),
+                F.lit("duplicate_rate"), F.round("duplicate_rate", 6).cast("string"),
+            ),
+        )
+        return record(finished)
+
+    def record(finished: DataFrame) -> DataFrame:
+        return result_record(
+            finished, "structured", config, dataset_name, as_of_column(as_of), run_id, source_path
+        )
+
+    if not isolate:
+        return together()
+    try:
+        return settled(together())
+    except Exception:  # noqa: BLE001 - each dimension reports its own failure below
+        log.exception("data set failed as a whole")
+    scored, ranked = by_dimension(
+        df.sparkSession, lambda dimension: dimension_part(df, dimension, as_of, config, distinct)
     )
+    # As many checks as the table has columns, times a constant.
+    gathered = ranked.agg(F.collect_list(F.struct(*ranked.columns)).alias("ranked")).scalar()
+    finished = scored.withColumn("ranked", gathered).withColumn("failed_checks", ordered_failures(F.col("ranked")))
+    return settled(record(finished))
