@@ -14,7 +14,7 @@ from itertools import cycle
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from plumbline.llm.shared import NOT_SPACE, stored
@@ -123,6 +123,24 @@ def numbered(
     )
 
 
+def dealt(rows: DataFrame, seed: int) -> DataFrame:
+    """The :func:`numbered` rows with ``deal``, the number by which they are dealt to blocks.
+
+    It depends on id and size, and on which copy a row is among those alike in these and in source, so a row
+    repeated any number of times goes to all blocks in turn. Copies are numbered from the counts
+    of each input partition, so no task holds more of them than one partition has.
+    """
+    alike = ["_id", "size", "_source", "_part"]
+    rows = rows.withColumn("_id", F.coalesce("doc_id", "uid")).withColumn("_part", F.shiftright("uid", 33))
+    rows = rows.withColumn("_source", F.coalesce(F.concat(F.lit("="), "source"), F.lit("")))
+    counts = rows.groupBy(*alike).agg(F.count("*").alias("_n"))
+    before = Window.partitionBy("_id", "size", "_source").orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
+    counts = counts.select(*alike, F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before")).where("_before > 0")
+    copy = F.row_number().over(Window.partitionBy(*alike).orderBy("uid")) - 1 + F.coalesce("_before", F.lit(0))
+    deal = F.pmod(F.xxhash64(F.lit(seed), "_id", "size"), F.lit(1 << 40)) + copy
+    return rows.join(counts, alike, "left").withColumn("deal", deal).drop("_id", "_source", "_part", "_before")
+
+
 def decide(
     rows: DataFrame,
     weights: list[float] = (5, 2, 1),
@@ -142,8 +160,7 @@ def decide(
         settled, "of string, source_size long, target double, rate double, blocks long"
     )
     # Draws depend on ids and sizes alone; rows without an id have only their number to be dealt by.
-    dealt = F.xxhash64(F.lit(seed), F.coalesce("doc_id", "uid"), "size")
-    state = rows.join(F.broadcast(per_source), F.col("source").eqNullSafe(F.col("of"))).select(
+    state = dealt(rows, seed).join(F.broadcast(per_source), F.col("source").eqNullSafe(F.col("of"))).select(
         "uid",
         F.col("doc_id").isNotNull().alias("has_id"),
         F.coalesce("doc_id", F.lit(0).cast("long")).alias("doc_id"),
@@ -153,7 +170,7 @@ def decide(
         "target",
         F.floor("rate").alias("whole"),
         (F.col("rate") - F.floor("rate")).alias("p"),
-        F.pmod(dealt, F.col("blocks")).alias("block"),
+        F.pmod("deal", F.col("blocks")).alias("block"),
     )
     done, round_number, n_blocks = None, 0, max([1, *(row[4] for row in settled)])
     while True:
@@ -203,7 +220,8 @@ def mix(documents: DataFrame, doc_id: str = "doc_id", text: str = "text", source
     size, so reruns agree; rows alike in these are interchangeable. An empty
     table gives no rows; other columns are not read. Only ids, sources and sizes
     are shuffled, never texts; a source is split into blocks of about
-    ``block_rows`` rows, so one of any size is many tasks. One row per source
+    ``block_rows`` rows, so one of any size is many tasks, and so are copies of one row. Rows
+    without an id are dealt by position, so for them reruns agree over the same files only. One row per source
     comes to the driver: the sources of a mix are its configuration.
     """
     return decide(stored(numbered(documents, doc_id, text, source), "mix-sizes"), **options).drop("uid")

@@ -2,9 +2,10 @@ import re
 from collections import defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from plumbline.llm import mixing
-from plumbline.llm.shared import table
+from plumbline.llm.shared import stored, table
 
 
 def test_targets_share_anew_what_capped_sources_leave():
@@ -66,3 +67,31 @@ def test_odd_rows(make_docs):
     assert repeated.columns == docs.columns
     assert repeated.count() == sum(r.times for r in got)
     assert mixing.mixed(make_docs([])).count() == 0
+
+
+def test_a_repeated_row_goes_to_all_blocks(spark):
+    """A third of all rows alike, over many input partitions or in one."""
+    rows = spark.range(3000).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"), F.lit("a b c").alias("text"), F.lit("s").alias("source")
+    )
+    for parts in (1, 12):
+        given = stored(mixing.numbered(rows.repartition(parts)), "mix-test")
+        dealt = mixing.dealt(given, 7)
+        assert dealt.count() == 3000 and dealt.select("uid").distinct().count() == 3000
+        blocks = dealt.groupBy(F.pmod("deal", F.lit(60)).alias("b")).agg(F.count("*").alias("n"), F.count_if(F.col("doc_id") == 7).alias("hot"))
+        found = blocks.collect()
+        assert len(found) == 60 and max(r["n"] for r in found) < 100
+        assert max(r["hot"] for r in found) - min(r["hot"] for r in found) <= 1
+
+
+def test_repeated_rows_are_mixed_whole_and_alike(spark):
+    rows = spark.range(900).select(
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id")).alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, F.lit("x y")).otherwise(F.repeat(F.lit("a "), (F.col("id") % 40).cast("int"))).alias("text"),
+        F.when(F.col("id") % 2 == 0, "s").alias("source"),
+    )
+    runs = [
+        sorted((r["doc_id"], r["size"], r["source"] or "", r["times"]) for r in mixing.mix(rows.repartition(n), block_rows=50).collect())
+        for n in (1, 9)
+    ]
+    assert len(runs[0]) == 900 and runs[0] == runs[1]
