@@ -37,9 +37,10 @@ def by_dimension(
 
     ``part`` gives for a dimension one row with its score, named as the dimension is, and
     ``metadata``, and the ranked checks as rows. The result is one row with six scores and the
-    metadata together, and all ranked checks as rows.
+    metadata together, and all ranked checks as rows. Where all six fail the last error is raised.
     """
     scores = checks = None
+    failures = 0
     for dimension in DIMENSIONS:
         try:
             scored, ranked = part(dimension)
@@ -50,6 +51,10 @@ def by_dimension(
             )
             ranked = settled(ranked)
         except Exception as error:  # noqa: BLE001 - reported as the result of this dimension
+            failures += 1
+            if failures == len(DIMENSIONS):
+                # Nothing could be checked, so the data set itself cannot be read.
+                raise
             log.exception("%s failed", dimension)
             scored = spark.createDataFrame(
                 [(dimension, 0.0, {})], "dimension string, score double, metadata map<string,string>"
