@@ -22,7 +22,11 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def without_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group that shares 0.8 of its five-word shingles by SimHash, the smallest id."""
+    """One document of each group that shares 0.8 of its five-word shingles, the smallest id.
+
+    Found by SimHash through the inverted index of ``op10_simhash`` (shared bytes counted, bits verified),
+    by an exact index where fingerprints lie further apart, and verified on the shingles.
+    """
     return similar.one_of_each(docs)
 
 

@@ -1,13 +1,15 @@
 """Near copies by shared shingles: every pair at or above a similarity, none below it.
 
-Texts are sets of hashed word shingles. Two sets that have ``share`` of their union in
+Texts are sets of hashed word shingles. What SimHashes tell alone comes first: 64-bit fingerprints
+that differ in two bits or fewer meet in the inverted index of :mod:`simhash`, which counts their
+shared bytes and verifies their bits. The rest is found exactly. Two sets that have ``share`` of their union in
 common share an element among their rarest n - ceil(share n) + 1 (the prefix filter
 of Chaudhuri, Ganti and Kaushik, "A Primitive Operator for Similarity Joins", 2006), so an
 inverted index over those elements misses no pair. How rare an element is says a
 sketch of fixed size; any order would do, this one keeps postings short where many
-texts share a passage. A posting drops pairs by size and by the bits of 256-bit SimHashes and
-hands on a tree of the rest. The trees are verified on whole sets, and what they leave
-apart inside a family is compared block by block; tasks give out trees, never pairs.
+texts share a passage. A posting leaves out what the first index has joined, drops pairs by size and by
+the bits of 256-bit SimHashes and hands on a tree of the rest. The edges of both are verified on whole sets, and
+what they leave apart inside a family is compared block by block; tasks give out trees, never pairs.
 """
 
 from __future__ import annotations
@@ -24,10 +26,12 @@ from pyspark.sql import functions as F
 
 from plumbline.llm.components import components
 from plumbline.llm.shared import stored
-from plumbline.llm.simhash import spanning, shingle_hashes, wide_fingerprint
+from plumbline.llm.simhash import linked, spanning, shingle_hashes, wide_fingerprint
 
 # Counters of the sketch of how common shingles are, and those that one row of it holds.
 SKETCH_SLOTS, SKETCH_PART = 1 << 22, 1 << 16
+# Bits of 64 in which SimHashes differ that the inverted index over their bytes joins.
+INDEXED = 2
 # SimHash bits of 256 in which sets that share 0.8 differ: 39, give or take 6; up to 48 give or
 # take 6 in sets of a few shingles. Unrelated ones differ in 128, give or take 8.
 APART, TIGHT = 96, 26
@@ -122,15 +126,27 @@ def _placed(kinds: DataFrame) -> DataFrame:
     return met.join(sizes, "posting").withColumn("block", F.pmod(F.xxhash64("kind"), "blocks").cast("int"))
 
 
+def _indexed(kinds: DataFrame) -> DataFrame:
+    """(a, b) edges that span the kinds whose ``bits`` differ in ``INDEXED`` or fewer, by the inverted index over their bytes."""
+    named = stored(kinds.groupBy("bits").agg(F.min("kind").alias("least")), "similar-bits")
+    ends = linked(named.select(F.col("bits").alias("fp")), INDEXED)
+    ends = ends.join(named.toDF("a", "first"), "a").join(named.toDF("b", "second"), "b").select("first", "second")
+    equal = kinds.select("bits", "kind").join(named, "bits").where("kind <> least").select("least", "kind")
+    return ends.union(equal).select(F.least("first", "second").alias("a"), F.greatest("first", "second").alias("b"))
+
+
 def _proposed(placed: DataFrame, kinds: DataFrame, share: float) -> DataFrame:
-    """(a, b) edges that span, in each posting, the pairs whose sizes and SimHashes allow ``share``."""
+    """(a, b) edges that span, in each posting, the pairs whose sizes and SimHashes allow ``share``.
+
+    Kinds of the same ``group`` are connected already.
+    """
     # A posting of any size is cut into blocks, and every pair of blocks is compared on its own.
     each = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)).alias("other"))
     paired = each.select("posting", (F.least("block", "other") * 65536 + F.greatest("block", "other")).alias("pair"), "kind")
-    full = paired.join(kinds.select("kind", "fp", "n"), "kind").select("posting", "pair", "kind", "fp", "n")
+    full = paired.join(kinds.select("kind", "fp", "n", "group"), "kind").select("posting", "pair", "kind", "fp", "n", "group")
 
-    def close(kind: np.ndarray, fps: np.ndarray, n: np.ndarray) -> np.ndarray:
-        group, least = np.arange(len(kind)), share * n - 1e-9
+    def close(kind: np.ndarray, fps: np.ndarray, n: np.ndarray, group: np.ndarray) -> np.ndarray:
+        group, least = np.unique(group, return_inverse=True)[1], share * n - 1e-9
 
         def near(limit: int):
             def at(k: int) -> np.ndarray:
@@ -152,7 +168,7 @@ def _proposed(placed: DataFrame, kinds: DataFrame, share: float) -> DataFrame:
         for batch in batches:
             if not batch.num_rows:
                 continue
-            posting, pair, kind, n = (batch.column(k).to_numpy() for k in (0, 1, 2, 4))
+            posting, pair, kind, n, group = (batch.column(k).to_numpy() for k in (0, 1, 2, 4, 5))
             fps = np.frombuffer(b"".join(batch.column(3).to_pylist()), "<u8").reshape(batch.num_rows, -1)
             starts = np.concatenate([[0], np.flatnonzero((posting[1:] != posting[:-1]) | (pair[1:] != pair[:-1])) + 1])
             found = []
@@ -160,7 +176,7 @@ def _proposed(placed: DataFrame, kinds: DataFrame, share: float) -> DataFrame:
                 if (posting[a], pair[a]) != current:
                     found += settled()
                     current, held = (posting[a], pair[a]), []
-                held.append((kind[a:b], fps[a:b], n[a:b]))
+                held.append((kind[a:b], fps[a:b], n[a:b], group[a:b]))
             yield _edges(found)
         yield _edges(list(settled()))
 
@@ -305,11 +321,15 @@ def _compared(members: DataFrame, sets: DataFrame, share: float) -> DataFrame:
 
 
 def near_sets(kinds: DataFrame, sets_of, share: float) -> DataFrame:
-    """(node, component) of all ``kinds`` (kind, n, fp, prefix) that share ``share`` with another, directly or not.
+    """(node, component) of all ``kinds`` (kind, n, bits, fp, prefix) that share ``share`` with another, directly or not.
 
     ``sets_of`` gives (kind, hashes) of the kinds of a DataFrame: all elements, as sorted 64-bit numbers.
     """
-    proposed = stored(_proposed(_placed(kinds), kinds, share), "similar-proposed")
+    indexed = stored(_indexed(kinds), "similar-indexed")
+    near = components(indexed, "similar").toDF("kind", "near")
+    tied = kinds.select("kind", "fp", "n").join(near, "kind", "left").select("kind", "fp", "n", F.coalesce("near", "kind").alias("group"))
+    # Edges of either kind only connect; a family in which one fails is compared whole below.
+    proposed = stored(_proposed(_placed(kinds), tied, share).union(indexed).distinct(), "similar-proposed")
     families = stored(components(proposed, "similar").toDF("kind", "family"), "similar-families")
     sets = stored(sets_of(families.select("kind")), "similar-sets")
     good = stored(_verified(proposed, sets, share), "similar-good")
@@ -327,8 +347,9 @@ def one_of_each(documents: DataFrame, size: int = 5, share: float = 0.8, doc_id:
     """The rows of ``documents`` without near copies: of each group the smallest id stays.
 
     Near copies have ``share`` or more of their different ``size``-word shingles in
-    common; all such pairs are found, but for the one in millions whose 256-bit SimHashes differ
-    in more than ``APART`` bits, and nothing below is linked. Texts without words are one group. Rows of one id
+    common. SimHashes that differ in ``INDEXED`` bits or fewer find each other first, the prefix index finds
+    the rest, and both are verified on the shingles; all such pairs are found, but for the one in millions whose
+    256-bit SimHashes differ in more than ``APART`` bits, and nothing below is linked. Texts without words are one group. Rows of one id
     stay or go together, equal texts among them once; rows without an id are not
     judged and stay. An empty table gives no rows; all columns are kept.
     """
@@ -338,19 +359,23 @@ def one_of_each(documents: DataFrame, size: int = 5, share: float = 0.8, doc_id:
 
     def prints(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, sets, counts, prefixes = [], [], [], []
+            fps, bits, sets, counts, prefixes = [], [], [], [], []
             for t in batch.column(1).to_pylist():
                 hashes = shingle_hashes((t or "").encode("utf-8"), size)
                 fps.append(wide_fingerprint(hashes))
+                bits.append(int.from_bytes(fps[-1][:8], "little", signed=True))
                 sets.append(blake2b(hashes.tobytes(), digest_size=16).digest())
                 counts.append(len(hashes))
                 prefixes.append(_prefix(hashes, common.value, share).tobytes())
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(2), pa.array(fps, pa.binary()), pa.array(sets, pa.binary()), pa.array(counts, pa.int64()), pa.array(prefixes, pa.binary())],
-                names=["doc_id", "print", "fp", "shingles", "n", "prefix"],
+                [
+                    batch.column(0), batch.column(2), pa.array(fps, pa.binary()), pa.array(bits, pa.int64()),
+                    pa.array(sets, pa.binary()), pa.array(counts, pa.int64()), pa.array(prefixes, pa.binary()),
+                ],
+                names=["doc_id", "print", "fp", "bits", "shingles", "n", "prefix"],
             )
 
-    rows = stored(named.mapInArrow(prints, "doc_id long, print long, fp binary, shingles binary, n long, prefix binary"), "similar-rows")
+    rows = stored(named.mapInArrow(prints, "doc_id long, print long, fp binary, bits long, shingles binary, n long, prefix binary"), "similar-rows")
     # Texts of the same shingles are one kind from the start; the rest of its columns follow from its set.
     least = rows.groupBy("shingles").agg(F.min(F.struct("doc_id", "print")).alias("who")).select("shingles", "who.*")
     kinds = rows.join(least, ["shingles", "doc_id", "print"], "left_semi").dropDuplicates(["shingles"])

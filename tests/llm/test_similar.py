@@ -129,6 +129,42 @@ def test_what_leaves_a_task_grows_with_the_rows(spark, make_docs, monkeypatch):
     assert seen["_verified"] == seen["_compared"] == [0, 0, 0]
 
 
+def test_near_fingerprints_meet_in_the_inverted_index(spark, make_docs, monkeypatch):
+    """What differs in two bits of SimHash comes from the index over bytes, is verified, and is not proposed again."""
+    words = [f"w{k}" for k in range(3000)]
+    texts = [" ".join(words[:2990] + [f"n{c}"] + words[2990:]) for c in range(8)]
+    texts += [" ".join(f"f{c}x{k}" for k in range(300)) for c in range(4)]
+    bits = [np.frombuffer(simhash.wide_fingerprint(simhash.shingle_hashes(t.encode(), 5))[:8], "<u8")[0] for t in texts]
+    near = [(a, b) for a in range(12) for b in range(a) if np.bitwise_count(bits[a] ^ bits[b]) <= similar.INDEXED]
+    assert near and all(a < 8 for a, _ in near)
+    seen = {}
+
+    def counting(module, name):
+        inner = getattr(module, name)
+
+        def run(*args):
+            made = similar.stored(inner(*args), "counted")
+            seen.setdefault(name, []).append(made.count())
+            return made
+
+        monkeypatch.setattr(module, name, run)
+
+    for name in ("linked", "_indexed", "_proposed", "_verified"):
+        counting(similar, name)
+    assert {r.doc_id for r in similar.one_of_each(make_docs(list(enumerate(texts)))).select("doc_id").collect()} == {0, 8, 9, 10, 11}
+    group = list(range(8))
+    for a, b in near:
+        low, high = sorted((group[a], group[b]))
+        group = [low if g == high else g for g in group]
+    joined = 8 - len(set(group))
+    assert seen["_indexed"] == [seen["_indexed"][0]] and seen["_indexed"][0] >= joined and seen["linked"]
+    # Without the index seven edges would span the eight texts in every posting.
+    assert seen["_proposed"][0] <= 7 * (len(set(group)) - 1) and seen["_verified"][0] >= joined
+    # Fingerprints that are near although the texts are not fail on the shingles.
+    monkeypatch.setattr(similar, "wide_fingerprint", lambda hashes: bytes(32))
+    assert {r.doc_id for r in similar.one_of_each(make_docs(list(enumerate(texts)))).select("doc_id").collect()} == {0, 8, 9, 10, 11}
+
+
 def test_overlaps_are_exact_by_both_ways(monkeypatch):
     rng = np.random.default_rng(3)
     for spread in (40, 400, 40_000):
