@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from plumbline.operators import entities as E
 from plumbline.operators.documents import text_features, with_likely_duplicates
+from plumbline.operators import language
 from plumbline.operators.language import identify_language, language_profiles, trigrams
 from plumbline.plans.text import score_documents, validate_documents
 
@@ -110,6 +111,37 @@ def test_trained_language(spark):
     assert got[7][0] == "en" and got[8] == ("de", 1.0) and got[9] == ("unknown", None)
 
 
+def test_trigrams_are_counted_before_they_leave_the_scan(spark, monkeypatch):
+    """In pieces of any size as brute force over single trigrams has them; null labels, repeated keys, letters of two units."""
+    monkeypatch.setattr(language, "PIECE", 7)
+    rows = [
+        (1, "en", "the weather there and then, the end"), (1, "en", "Then AGAIN"), (2, "de", "der Schnee schmilzt"), (3, None, "the null label"),
+        (None, "de", "ohne Schlüssel"), (4, "en", None), (5, "de", "ab"), (6, "en", "1 2 3"), (7, "fr", "\U0001d49c\U0001d4d1\U0001d49c x\0y"), (8, "de", "zz " * 40),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id int, lang string, text string")
+    single = docs.select("doc_id", "lang", F.explode_outer(trigrams(F.col("text"))).alias("gram"))
+    want = single.where("gram is not null").groupBy("lang", "gram").count().collect()
+    made = language_profiles(docs, size=1000)
+    profile = {(r.lang, r.gram): r.weight for r in made.collect()}
+    for lang in {r.lang for r in want}:
+        ranked = sorted((-r["count"], r.gram) for r in want if r.lang == lang)
+        assert [profile[lang, gram] for _, gram in ranked] == [1000 - k for k in range(len(ranked))]
+    assert len(profile) == len(want)
+    scores, keys = {}, set()
+    for row in single.collect():
+        keys.add(row.doc_id)
+        for (lang, gram), weight in profile.items():
+            if gram == row.gram:
+                scores.setdefault(row.doc_id, {}).setdefault(lang, []).append(weight)
+    got = {r.doc_id: (r.language, r.score, r.confidence) for r in identify_language(docs, made).collect()}
+    assert got.keys() == keys
+    for key in keys:
+        sums = {lang: sum(w) for lang, w in scores.get(key, {}).items()}
+        best = max(((s, lang) for lang, s in sums.items() if lang is not None), default=(None, "unknown"))
+        assert got[key][:2] == (best[1], best[0])
+        assert got[key][2] == (None if best[0] is None else pytest.approx(best[0] / sum(sums.values()), abs=5e-5))
+
+
 def test_dictionary_entities(spark):
     docs = spark.createDataFrame([(1, "New York, new york and Lagos."), (2, "nothing")], "doc_id int, text string")
     places = spark.createDataFrame([("new york", "CITY"), ("lagos", "CITY"), ("york", "NAME")], "phrase string, label string")
