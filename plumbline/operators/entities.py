@@ -4,8 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 
@@ -33,24 +36,43 @@ def phrases(words: Column, longest: int) -> Column:
     return F.concat(*runs)
 
 
+def _counted(rows: DataFrame) -> DataFrame:
+    """(key, phrase, n) from (key, phrases): how often a row holds each phrase.
+
+    Counted a batch of rows at a time where they lie: no table of the phrases of
+    a whole partition is held, and none is shuffled.
+    """
+    key = rows.schema[0]
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            lists = batch.column(1)
+            encoded = lists.flatten().dictionary_encode()
+            known = encoded.dictionary
+            row = np.repeat(np.arange(len(lists)), lists.value_lengths().to_numpy())
+            pairs, n = np.unique(row * len(known) + encoded.indices.to_numpy(), return_counts=True)
+            row, code = np.divmod(pairs, max(len(known), 1))
+            columns = [batch.column(0).take(pa.array(row)), known.take(pa.array(code)), pa.array(n, pa.int64())]
+            yield pa.RecordBatch.from_arrays(columns, names=[key.name, "phrase", "n"])
+
+    return rows.mapInArrow(count, T.StructType([key, T.StructField("phrase", T.StringType()), T.StructField("n", T.LongType())]))
+
+
 def dictionary_entities(
     docs: DataFrame, dictionary: DataFrame, key: str = "doc_id", text: str = "text", longest: int = 1
 ) -> DataFrame:
     """``(key, label, n)``: how often phrases of each label occur in each document.
 
     ``dictionary`` holds unique lower-cased ``(phrase, label)`` pairs. Phrases are
-    counted per document before an ordinary join by phrase: the planner
+    counted in each row before an ordinary join by phrase: the planner
     broadcasts a dictionary that is small by its known size, and else
-    splits the partitions of phrases that occur in most documents.
+    splits the partitions of phrases that occur in most documents. Rows of one
+    key add up after the join, when what the dictionary does not hold is gone.
     """
     split = docs.select(key, words_of(F.coalesce(F.col(text), F.lit(""))).alias("words"))
     if longest > 1:
-        found = split.select(key, phrases(F.col("words"), longest).alias("phrases"))
-        found = found.select(key, F.explode("phrases").alias("phrase"))
-    else:
-        found = split.select(key, F.explode("words").alias("phrase"))
-    counted = found.groupBy(key, "phrase").agg(F.count(F.lit(1)).alias("n"))
-    tagged = counted.join(dictionary, "phrase")
+        split = split.select(key, phrases(F.col("words"), longest).alias("phrases"))
+    tagged = _counted(split).join(dictionary, "phrase")
     return tagged.groupBy(key, "label").agg(F.sum("n").alias("n"))
 
 

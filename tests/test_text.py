@@ -142,6 +142,20 @@ def test_trigrams_are_counted_before_they_leave_the_scan(spark, monkeypatch):
         assert got[key][2] == (None if best[0] is None else pytest.approx(best[0] / sum(sums.values()), abs=5e-5))
 
 
+def test_phrases_are_counted_without_a_table_of_a_partition(spark, capsys):
+    rows = [(1, "a b a c"), (1, "a d"), (None, "b b"), (3, None), (4, ""), (5, "e f")]
+    docs = spark.createDataFrame(rows, "doc_id int, text string")
+    tags = spark.createDataFrame([("a", "X"), ("a", "Y"), ("b", "X"), ("e", "X")], "phrase string, label string")
+    made = E.dictionary_entities(docs, tags)
+    assert sorted((r.doc_id or 0, r.label, r.n) for r in made.collect()) == [(0, "X", 2), (1, "X", 4), (1, "Y", 3), (5, "X", 1)]
+    assert dict(made.dtypes) == {"doc_id": "int", "label": "string", "n": "bigint"}
+    capsys.readouterr()
+    made.explain()
+    grouped = [line for line in capsys.readouterr().out.splitlines() if "Aggregate(" in line]
+    assert grouped and not any("phrase" in line.split("functions")[0] for line in grouped)
+    assert E.dictionary_entities(docs.limit(0), tags).count() == 0
+
+
 def test_dictionary_entities(spark):
     docs = spark.createDataFrame([(1, "New York, new york and Lagos."), (2, "nothing")], "doc_id int, text string")
     places = spark.createDataFrame([("new york", "CITY"), ("lagos", "CITY"), ("york", "NAME")], "phrase string, label string")
