@@ -26,6 +26,8 @@ from plumbline.llm.tokens import Encoder
 
 BLOCK_IDS = 65_536
 SEGMENT_IDS = 1 << 20
+# Characters of text that are encoded at once, in whole documents: enough that most words occur in them repeatedly.
+ENCODED_AT_ONCE = 8 << 20
 PLANES = {"byte": 4, "bit": 32}
 
 SEGMENT = pa.schema(
@@ -98,6 +100,23 @@ def _encoder(path: str) -> Encoder:
     return Encoder(path)
 
 
+def _gathered(batches: Iterator[pa.RecordBatch], at_once: int) -> Iterator[tuple[list, list[str]]]:
+    """(keys, texts) of as many rows as it takes to hold ``at_once`` characters."""
+    keys, texts, held = [], [], 0
+    for batch in batches:
+        for at in range(0, batch.num_rows, 256):
+            some = batch.slice(at, 256)
+            for key, text in zip(some.column(0).to_pylist(), some.column(1).to_pylist(), strict=True):
+                keys.append(key)
+                texts.append(text)
+                held += len(text)
+                if held >= at_once:
+                    yield keys, texts
+                    keys, texts, held = [], [], 0
+    if keys:
+        yield keys, texts
+
+
 def write_ids(
     documents: DataFrame,
     folder: str,
@@ -132,17 +151,15 @@ def write_ids(
                 [pa.array([value], field.type) for value, field in zip(row, schema, strict=True)], schema=schema
             )
 
-        for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                some = batch.slice(at, 256)
-                for key, ids in zip(some.column(0).to_pylist(), _encoder(path).ids(some.column(1).to_pylist()), strict=True):
-                    doc_ids.append(key)
-                    parts.append(ids + end)
-                    held += len(parts[-1]) // 4
-                    if held >= segment_ids:
-                        yield full()
-                        segment, first = segment + 1, first + held
-                        doc_ids, parts, held = [], [], 0
+        for keys, texts in _gathered(batches, ENCODED_AT_ONCE):
+            for key, ids in zip(keys, _encoder(path).ids(texts), strict=True):
+                doc_ids.append(key)
+                parts.append(ids + end)
+                held += len(parts[-1]) // 4
+                if held >= segment_ids:
+                    yield full()
+                    segment, first = segment + 1, first + held
+                    doc_ids, parts, held = [], [], 0
         if parts:
             yield full()
 

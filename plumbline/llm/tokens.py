@@ -4,18 +4,20 @@ A byte-level tokenizer of this family cuts a text into pre-tokens first and
 merges inside each alone. A single space between two other characters always
 begins a pre-token, so a text without runs or edges of white space can be cut at
 its spaces, and each word with its space can be looked up. What a worker has
-looked up it remembers within bounds, from task to task.
+looked up it remembers within bounds, from task to task. Ids are looked up for
+the words of many texts at once.
 """
 
 from __future__ import annotations
 
 import os
+import re
 from collections.abc import Callable, Iterator
 from functools import lru_cache
-from struct import pack
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -59,86 +61,153 @@ def tokenizer(path: str):
     return Tokenizer.from_file(path)
 
 
-def safe_words(text: str) -> list[str] | None:
-    """The words of ``text``, between its spaces.
+def cuttable(text: str) -> bool:
+    """Whether ``text`` can be cut at its spaces.
 
-    None where cutting at spaces may not be exact: unless every space stands
+    Not where that may not be exact: unless every space stands
     alone between two printable characters, and no white space but line feeds occurs.
     """
     if text == "":
-        return []
+        return True
     flat = text.replace("\n", "x")
-    if "  " in text or not flat.isprintable() or text[0] in " \n" or text[-1] in " \n" or " \n" in text or "\n " in text:
-        return None
-    return text.split(" ")
+    return not (
+        "  " in text or not flat.isprintable() or text[0] in " \n" or text[-1] in " \n" or " \n" in text or "\n " in text
+    )
 
 
-ENDINGS = ".,;:!?"
+def safe_words(text: str) -> list[str] | None:
+    """The words of ``text``, between its spaces; None where it is not :func:`cuttable`."""
+    if text == "":
+        return []
+    return text.split(" ") if cuttable(text) else None
+
 
+# Before a piece that has no space before it; no text that is cut holds this character.
+BARE = "\t"
+# Pieces that go through the library in one string.
+JOINED = 64
+# A pre-token surely ends between a letter of the plain alphabets and one final mark.
+FINAL_MARK = r"[A-Za-zÀ-ÖØ-öø-ɏ][.,;:!?]$"
 
-def parts_of(word: str) -> list[str]:
-    """A word of :func:`safe_words` cut further where pre-tokens are sure to end.
 
-    That is before and after a lone line feed between printable characters, and
-    between a letter and one final mark. What is not in the plain alphabets stays whole.
-    """
-    if not word.isascii() and any(c > "\u024f" for c in word) or "\n\n" in word or "<" in word:
-        return [word]
-    parts = []
-    for k, part in enumerate(word.split("\n")):
-        if k:
-            parts.append("\n")
-        if len(part) > 1 and part[-1] in ENDINGS and part[-2].isalpha():
-            parts += [part[:-1], part[-1]]
-        else:
-            parts.append(part)
-    return parts
+def lines_apart(text: str) -> str:
+    """A :func:`cuttable` text, marked so that its spaces alone cut it: a lone line feed is a pre-token of its own."""
+    if "\n\n" in text:
+        return BARE + re.sub(r"(?<!\n)\n(?!\n)", f" {BARE}\n {BARE}", text)
+    return BARE + text.replace("\n", f" {BARE}\n {BARE}")
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit integers, as the library gives them."""
+    """Ids of texts as little-endian unsigned 32-bit integers, as the library gives them.
+
+    Texts that hold no added token's string are cut into words, lone line feeds and
+    final marks, told apart as an Arrow column, so each is looked up once a call.
+    What was not met before goes through the library joined by spaces (by line
+    feeds what had no space before it): where as many tokens begin
+    with one as were joined, the ids are cut there, else each goes through alone.
+    What is remembered lies in Arrow columns as well, some 40 bytes a piece; at
+    ``limit`` pieces those not asked for again since the last time go.
+    """
 
-    def __init__(self, path: str, limit: int = 500_000):
+    def __init__(self, path: str, limit: int = 400_000):
         self.known, self.limit = tokenizer(path), limit
-        self.words, self.old, self.fresh = {}, {}, 0
-        self.parts = Remembered(limit)
-
-    def encoded(self, items: list[str]) -> list[bytes]:
-        found = self.known.encode_batch_fast(items, add_special_tokens=False)
-        return [np.array(e.ids, "<u4").tobytes() if len(e.ids) > 64 else pack(f"<{len(e.ids)}I", *e.ids) for e in found]
-
-    def in_words(self, items: list[str]) -> list[bytes]:
-        cuts = [parts_of(item) for item in items]
-        kept = self.parts.new
-        missing = {part for cut in cuts for part in cut if part not in kept}
-        values = self.parts.fill(missing, self.encoded) if missing else {}
-        return [b"".join([values[p] if p in values else kept[p] for p in cut]) for cut in cuts]
-
-    def _learn(self, missing: set[str]) -> dict[str, bytes]:
-        """Ids of words that are not in ``words``, each with the space before it."""
-        if len(self.words) > self.limit or self.fresh > LONGEST_KEPT * self.limit:
-            self.old, self.words, self.fresh = self.words, {}, 0
-        found = {word: self.old[word] for word in missing if word in self.old}
-        new = [word for word in missing if word not in found]
-        if new:
-            found.update(zip(new, self.in_words([" " + word for word in new]), strict=True))
-        self.words.update(found)
-        self.fresh += sum(map(len, missing))
-        return found
+        tokens = [self.known.id_to_token(i) or "" for i in range(self.known.get_vocab_size())]
+        # The library writes a space as U+0120 and a line feed as U+010A.
+        self.begins = {" ": np.array([t.startswith("\u0120") for t in tokens]), "\n": np.array([t == "\u010a" for t in tokens])}
+        self.added = [token.content for token in self.known.get_added_tokens_decoder().values()]
+        self.pieces, self.lists = pa.array([], pa.string()), pa.array([], pa.list_(pa.uint32()))
+        self.asked = np.zeros(0, bool)
+
+    def encoded(self, items: list[str]) -> list[np.ndarray]:
+        return [np.array(e.ids, "<u4") for e in self.known.encode_batch_fast(items, add_special_tokens=False)]
+
+    def _joined(self, pieces: pa.Array, mark: str) -> tuple[list[np.ndarray], list[np.ndarray]]:
+        """(ids of groups of pieces, the number of ids of each piece); a space belongs to its piece, a line feed does not."""
+        n, found, lengths = len(pieces), [], []
+        ends = pa.array(np.append(np.arange(0, n, JOINED), n).astype(np.int32))
+        groups = pc.binary_join(pa.ListArray.from_arrays(ends, pieces), mark).to_pylist()
+        for at in range(0, len(groups), JOINED):
+            some = groups[at : at + JOINED]
+            for k, ids in enumerate(self.encoded([mark + group for group in some]), at):
+                size = min(JOINED, n - k * JOINED)
+                marked = self.begins[mark][ids]
+                begins = np.flatnonzero(marked)
+                if len(begins) != size or begins[0] != 0:
+                    alone = self.encoded([" " * (mark == " ") + piece for piece in pieces.slice(k * JOINED, size).to_pylist()])
+                    found.append(np.concatenate(alone))
+                    lengths.append(np.array([len(one) for one in alone]))
+                else:
+                    found.append(ids if mark == " " else ids[~marked])
+                    lengths.append(np.diff(begins, append=len(ids)) - (mark != " "))
+        return found, lengths
+
+    def _learn(self, pieces: pa.Array) -> pa.Array:
+        """Ids of pieces not met before, a list each."""
+        bare = pc.starts_with(pieces, BARE).to_numpy(zero_copy_only=False)
+        found, lengths = self._joined(pieces.filter(pa.array(~bare)), " ")
+        cut = self._joined(pc.utf8_slice_codeunits(pieces.filter(pa.array(bare)), len(BARE)), "\n")
+        found, lengths = [*found, *cut[0]], [*lengths, *cut[1]]
+        offsets = pa.array(np.cumsum(np.concatenate([[0], *lengths])).astype(np.int32))
+        lists = pa.ListArray.from_arrays(offsets, pa.array(np.concatenate(found).astype(np.uint32)))
+        return lists.take(pa.array(np.argsort(np.argsort(bare, kind="stable"))))
+
+    def _remember(self, pieces: pa.Array, lists: pa.Array) -> None:
+        short = pc.less_equal(pc.utf8_length(pieces), LONGEST_KEPT)
+        pieces, lists = pieces.filter(short), lists.filter(short)
+        if len(self.pieces) + len(pieces) > self.limit:
+            kept = pa.array(np.flatnonzero(self.asked)[: self.limit // 2])
+            self.pieces, self.lists, self.asked = self.pieces.take(kept), self.lists.take(kept), np.zeros(len(kept), bool)
+        self.pieces = pa.concat_arrays([self.pieces, pieces])
+        self.lists = pa.concat_arrays([self.lists, lists])
+        self.asked = np.append(self.asked, np.zeros(len(pieces), bool))
+
+    def _of_pieces(self, pieces: pa.Array) -> pa.Array:
+        """Ids of different pieces, a list each."""
+        if 0 < JOINED * len(pieces) < len(self.pieces):  # looking up reads all that is remembered
+            return self._learn(pieces)
+        at = pc.index_in(pieces, value_set=self.pieces)
+        missing = at.is_null()
+        new = missing.to_numpy(zero_copy_only=False)
+        at = at.fill_null(0).to_numpy(zero_copy_only=False).copy()
+        self.asked[at[~new]] = True
+        if not new.any():
+            return self.lists.take(pa.array(at))
+        fresh = pieces.filter(missing)
+        learned = self._learn(fresh)
+        at[new] = len(self.lists) + np.arange(len(fresh))
+        lists = pa.concat_arrays([self.lists, learned]).take(pa.array(at))
+        self._remember(fresh, learned)
+        return lists
+
+    def _of_words(self, words: pa.Array) -> pa.Array:
+        """Ids of different words, a list each; a final mark is a piece of its own."""
+        marked = pc.match_substring_regex(words, FINAL_MARK)
+        ending = words.filter(marked)
+        stems = pc.if_else(marked, pc.utf8_slice_codeunits(words, 0, -1), words)
+        finals = pc.binary_join_element_wise(pa.scalar(BARE), pc.utf8_slice_codeunits(ending, -1), "")
+        told = pa.concat_arrays([stems, finals]).dictionary_encode()
+        pieces, places = self._of_pieces(told.dictionary), told.indices.to_numpy()
+        sizes = 1 + marked.to_numpy(zero_copy_only=False).astype(np.int32)
+        ends = np.cumsum(sizes)
+        order = np.empty(len(places), np.int32)
+        order[ends - sizes] = places[: len(words)]
+        order[ends[sizes == 2] - 1] = places[len(words) :]
+        lists = pieces.take(pa.array(order))
+        offsets = lists.offsets.to_numpy()[np.append(0, ends)]
+        return pa.ListArray.from_arrays(pa.array(offsets), lists.values)
 
     def ids(self, texts: list[str]) -> list[bytes]:
-        cuts = [safe_words(text) for text in texts]
-        firsts = iter(self.in_words([cut[0] for cut in cuts if cut]))
-        wholes = iter(self.encoded([text for text, cut in zip(texts, cuts, strict=True) if cut is None]))
-        known = self.words.get
-        got = [[next(firsts), *map(known, cut[1:])] if cut else [] for cut in cuts]
-        holes = [[k for k, ids in enumerate(one) if ids is None] if None in one else () for one in got]
-        missing = {cut[k] for cut, gaps in zip(cuts, holes, strict=True) for k in gaps}
-        found = self._learn(missing) if missing else {}
-        for cut, one, gaps in zip(cuts, got, holes, strict=True):
-            for k in gaps:
-                one[k] = found[cut[k]]
-        return [next(wholes) if cut is None else b"".join(one) for cut, one in zip(cuts, got, strict=True)]
+        cut = [cuttable(text) and not any(a in text for a in self.added) for text in texts]
+        wholes = iter(self.encoded([text for text, plain in zip(texts, cut, strict=True) if not plain]))
+        marked = pa.array([lines_apart(text) for text, plain in zip(texts, cut, strict=True) if plain and text], pa.string())
+        words = pc.split_pattern(marked, " ")
+        ends, told = words.offsets.to_numpy(), words.flatten().dictionary_encode()
+        del marked, words
+        stream = self._of_words(told.dictionary).take(told.indices)
+        ends = stream.offsets.to_numpy()[ends].tolist()
+        raw = memoryview(stream.values.to_numpy().astype("<u4", copy=False)).cast("B")
+        parts = (bytes(raw[4 * a : 4 * b]) for a, b in zip(ends, ends[1:]))
+        return [(next(parts) if text else b"") if plain else next(wholes).tobytes() for text, plain in zip(texts, cut, strict=True)]
 
 
 # The library's own pre-token pattern: a fixed value.

@@ -32,6 +32,61 @@ def test_counts_and_ids_are_the_librarys(vocabulary):
         assert np.frombuffer(got, "<u4").tolist() == want, repr(text)
 
 
+class Counted(tokens.Encoder):
+    strings = 0
+
+    def encoded(self, items):
+        self.strings += len(items)
+        return super().encoded(items)
+
+
+def new_words(n, seed=5):
+    rng = random.Random(seed)
+    return sorted({"".join(rng.choice("abcdefghijklmnopqrstuvwxyzéü") for _ in range(rng.randint(6, 10))) for _ in range(n)})
+
+
+def test_new_words_go_through_the_library_together(vocabulary):
+    """A string of its own for each of them took 738 CPU seconds a GB in op9_token_planes."""
+    words, encoder = new_words(20_000), Counted(vocabulary)
+    texts = [f"{' '.join(words[at : at + 20])}.\n{words[at].title()}, {words[at]}; {words[at]}" for at in range(0, len(words), 20)]
+    got = encoder.ids(texts)
+    assert [np.frombuffer(ids, "<u4").tolist() for ids in got] == library(vocabulary, texts)
+    assert encoder.strings < len(words) / 20
+    met = encoder.strings
+    assert encoder.ids(texts) == got and encoder.strings == met
+
+
+def test_what_is_remembered_is_small(vocabulary):
+    """Workers that are used again keep it through all stages of the pipeline."""
+    import gc
+    import tracemalloc
+
+    import pyarrow as pa
+
+    words, encoder = new_words(50_000), tokens.Encoder(vocabulary)
+    texts = [" ".join(words[at : at + 50]) for at in range(0, len(words), 50)]
+    tracemalloc.start()
+    before = pa.total_allocated_bytes()
+    encoder.ids(texts)
+    gc.collect()
+    held = tracemalloc.get_traced_memory()[0] + pa.total_allocated_bytes() - before
+    tracemalloc.stop()
+    assert held < 80 * len(words)
+
+
+@pytest.mark.parametrize("limit", [0, 40, 400_000])
+def test_pieces_are_the_librarys_whatever_is_remembered(vocabulary, limit):
+    rng, encoder = random.Random(11), tokens.Encoder(vocabulary, limit)
+    ends = [" ", " ", ", ", ".\n", "\n", "\n\n", "\n\n\n", ".. ", "1. ", "ß: ", "ⅷ. ", "中! ", "<|endoftext|> ", "'s. ", "é;\n", " '"]
+    words = ["a", "The", "it", "Straße", "x" * 70, "don't", "日本語", "Ġ", "\u010a", "7", "-", "<b>"]
+    texts = ["".join(rng.choice(words) + rng.choice(ends) for _ in range(rng.randint(1, 12))) + "z." for _ in range(3000)]
+    for at in range(0, len(texts), 300):
+        some = texts[at : at + 300]
+        got = [np.frombuffer(ids, "<u4").tolist() for ids in encoder.ids(some)]
+        for text, one, want in zip(some, got, library(vocabulary, some), strict=True):
+            assert one == want, repr(text)
+
+
 def test_pattern_agrees_with_the_library_on_its_alphabets(vocabulary):
     import regex
 
